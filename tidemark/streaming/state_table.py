@@ -1,0 +1,86 @@
+"""Document state kept as folders of partial states, merged on read.
+
+Applying a micro-batch writes only its own folded operations, so the cost of a
+batch does not grow with the number of documents. A folder is named after the
+batches it covers, `state-<first>-<last>`; compaction writes one folder for a
+run of batches. Merging partial states is idempotent, so a batch that is
+applied again replaces its folder and nothing else.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.operators.fold import documents, merge, reduce_ops
+
+NAME = re.compile(r"state-(\d+)-(\d+)$")
+
+
+class StateTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    def _filesystem(self):
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def folders(self) -> list[tuple[int, int, str]]:
+        """Completely written folders as (first batch, last batch, path)."""
+        folder, fs = self._filesystem()
+        if not fs.exists(folder):
+            return []
+        jvm = self.spark._jvm
+        found = []
+        for status in fs.listStatus(folder):
+            name = NAME.search(status.getPath().getName())
+            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            if name and fs.exists(done):
+                found.append((int(name[1]), int(name[2]), status.getPath().toString()))
+        return found
+
+    def current(self) -> list[tuple[int, int, str]]:
+        """The folders that together hold every batch once, widest first."""
+        cover, last = [], -1
+        for first, end, path in sorted(self.folders(), key=lambda f: (f[0], -f[1])):
+            if first > last:
+                cover.append((first, end, path))
+                last = end
+        return cover
+
+    def _write(self, state: DataFrame, first: int, last: int) -> None:
+        state.write.mode("overwrite").parquet(f"{self.path}/state-{first}-{last}")
+
+    def apply(self, ops: DataFrame, batch_id: int) -> None:
+        """X1 for one micro-batch: write its folded operations."""
+        self._write(reduce_ops(ops), batch_id, batch_id)
+
+    def state(self, cover: list[tuple[int, int, str]] | None = None) -> DataFrame:
+        chosen = self.current() if cover is None else cover
+        if not chosen:
+            raise ValueError(f"no state in {self.path}")
+        schema = self.spark.read.parquet(chosen[0][2]).schema
+        return merge(self.spark.read.schema(schema).parquet(*[p for _, _, p in chosen]))
+
+    def documents(self) -> DataFrame:
+        """The live documents after every applied batch."""
+        return documents(self.state())
+
+    def compact(self, fan_in: int = 8) -> None:
+        """Merge the newest run of at least `fan_in` folders into one.
+
+        Runs are chosen by width, so a batch is rewritten a logarithmic number
+        of times over the life of the table.
+        """
+        cover = self.current()
+        run: list[tuple[int, int, str]] = []
+        for folder in reversed(cover):
+            width = folder[1] - folder[0] + 1
+            if run and width > fan_in * (run[0][1] - run[0][0] + 1):
+                break
+            run.insert(0, folder)
+        if len(run) >= fan_in:
+            self._write(self.state(run), run[0][0], run[-1][1])
