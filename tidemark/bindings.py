@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import configure
+from tidemark.session import configure, materialize
 
 SOURCES = [
     "region",
@@ -38,8 +38,8 @@ SPARK = {
 PLAIN = {
     "$K": "cast(json_extract_string(props, '$.k') as bigint)",
     "$DIV": "//",
-    "$TS_MS": "epoch_ms(ts)",
-    "$ORDER_MS": "epoch_ms(o_orderdate)",
+    "$TS_MS": "epoch_us(ts) // 1000",
+    "$ORDER_MS": "epoch_us(o_orderdate) // 1000",
     "$PARTS": "cross join (select unnest(range(0, 8)) as i) t",
 }
 
@@ -317,6 +317,10 @@ RENAMES = {
 }
 
 
+# Logs whose derivation is long enough to be stored as a table first.
+WRITTEN = {"provenance"}
+
+
 def select_text(name: str, dialect: dict[str, str], source_prefix: str = "") -> str:
     """The SELECT of a derived table with everything it builds on in place."""
     text = DERIVED[name].strip()
@@ -351,5 +355,8 @@ class Tables:
             if f"src_{source}" in text and source not in self._views:
                 self.source(source).createOrReplaceTempView(f"src_{source}")
                 self._views.add(source)
-        df = self.spark.sql(text)
-        return df.withColumnsRenamed(RENAMES.get(name, {}))
+        df = self.spark.sql(text).withColumnsRenamed(RENAMES.get(name, {}))
+        if name in WRITTEN:
+            df = materialize(df, name)
+        self.__dict__[name] = df
+        return df
