@@ -10,24 +10,13 @@ def assemble(parts: DataFrame, key: list[str], counted: bool = True) -> DataFram
     """A1: one row per key with the value of its parts in index order.
 
     The part with the lowest index says how many parts count: parts beyond it
-    are cut off, and a value with fewer is flagged `complete = false`. Repeated
-    copies of a part are merged before the shuffle, and an index is a 16-bit
+    are cut off, and a value with fewer is flagged `complete = false`. Copies of a
+    part are merged before and after the shuffle, and an index is a 16-bit
     number, so a group never exceeds 32,768 parts. With `counted` off all
     parts present are taken, as in a consistent read of one inode.
     """
-    unique = parts.groupBy(*key, "index").agg(
-        F.max(F.struct("num_parts", "value")).alias("_p")
-    )
-    listed = unique.groupBy(*key).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    F.col("index"),
-                    F.col("_p.value").alias("value"),
-                    F.col("_p.num_parts").alias("num_parts"),
-                )
-            )
-        ).alias("_parts")
+    listed = parts.groupBy(*key).agg(
+        F.array_sort(F.collect_set(F.struct("index", "num_parts", "value"))).alias("_parts")
     )
     wanted = F.col("_parts")[0]["num_parts"].cast("int")
     kept = F.filter("_parts", lambda p: p["index"] < wanted) if counted else F.col("_parts")

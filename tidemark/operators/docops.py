@@ -36,6 +36,33 @@ APP_FIELDS = (
     "app_name string, app_user string"
 )
 
+# Fields that the operations below and in the provenance plan write together.
+SEARCH_GROUPS = [
+    ["doc_type", "project_id"],
+    ["parent_id", "partition_id", "operation", "size", "group"],
+    ["name", "user"],
+]
+PROVENANCE_GROUPS = [
+    [
+        "inode_id",
+        "app_id",
+        "user_id",
+        "dataset_i_id",
+        "parent_i_id",
+        "inode_name",
+        "project_name",
+        "ml_id",
+        "ml_type",
+        "entry_type",
+        "partition_id",
+    ],
+    ["create_timestamp", "r_create_timestamp"],
+    ["inode_operation", "logical_time", "timestamp", "r_timestamp"],
+]
+APP_GROUPS = [
+    ["app_id", "app_state", "timestamp", "readable_timestamp", "app_name", "app_user"],
+]
+
 
 def fields(ddl: str, **values: Column) -> Column:
     """A fields struct with the given members set and all others null."""
@@ -119,7 +146,8 @@ def project_upsert(project: Column, user: Column, name: Column, description: Col
 
 
 def no_fields(ddl: str = SEARCH_FIELDS) -> Column:
-    return fields(ddl)
+    """The fields of an operation that mentions none."""
+    return F.lit(None).cast(T.StructType.fromDDL(ddl))
 
 
 def delete_doc(doc_id: Column, ddl: str = SEARCH_FIELDS) -> Column:

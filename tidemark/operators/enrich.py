@@ -9,7 +9,7 @@ from tidemark.functions.classify import FEATURE_SUFFIX
 from tidemark.functions.codes import CORE_XATTR, MISSING_ID, MISSING_NAME, USER_NAMESPACE
 from tidemark.functions.values import store_mode
 from tidemark.operators.assemble import assemble, assemble_strict
-from tidemark.operators.joins import as_of, keep_existing, lookup, unique_match
+from tidemark.operators.joins import as_of, keep_existing, lookup, sized, unique_match
 from tidemark.session import materialize
 
 ROOT_PARENT = 1
@@ -108,7 +108,8 @@ def resolve_datasets(
         F.col("id").alias("_store_id"),
         F.col("name").alias("_store_project"),
     )
-    resolved = lookup(lookup(lookup(ids, own, ["dataset_id"]), by_path, ["_parent"]), stores, ["dataset_name"])
+    resolved = lookup(lookup(ids, own, ["dataset_id"]), by_path, ["_parent"])
+    resolved = lookup(resolved, sized(stores), ["dataset_name"])
     is_store = F.coalesce(F.col("dataset_name").endswith(FEATURE_SUFFIX), F.lit(False))
     return resolved.select(
         "dataset_id",
@@ -189,13 +190,20 @@ def store_mode_versions(buffer: DataFrame) -> DataFrame:
     )
 
 
-def with_store_mode(rows: DataFrame, buffer: DataFrame) -> DataFrame:
+def with_store_mode(
+    rows: DataFrame, buffer: DataFrame, points_of: DataFrame | None = None
+) -> DataFrame:
     """The store mode of the dataset at the dataset's clock of the row.
 
     `core_time` is null when the dataset has no version yet.
     """
     return as_of(
-        rows, store_mode_versions(buffer), ["dataset_i_id"], "ds_logical_time", "core_time"
+        rows,
+        store_mode_versions(buffer),
+        ["dataset_i_id"],
+        "ds_logical_time",
+        "core_time",
+        points_of=points_of,
     )
 
 

@@ -2,12 +2,13 @@
 
 Everything an operation says about a document is lifted to pairs (seq, value),
 and pairs are merged by their maximum. That merge is associative, commutative
-and idempotent, so operations can be combined before the shuffle, a partial
-state of one micro-batch can be merged with another, and a replayed batch
-changes nothing.
+and idempotent, so operations are combined before the shuffle, a partial state
+of one micro-batch can be merged with another, and a replayed batch changes
+nothing.
 
-A state row is (index, doc_id, entry_key): `entry_key` null holds the scalar
-fields of the document, any other holds one entry of its nested map.
+There are two states: one row per document with its fields, and one row per
+entry of its nested map. A hot document is combined on the map side, and its
+entries are spread over their keys.
 """
 
 from __future__ import annotations
@@ -16,105 +17,144 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.docops import DELETE, MAP_CLEAR, MAP_REMOVE, UPSERT
+from tidemark.operators.joins import lookup
+from tidemark.session import materialize
 
-KEY = ["index", "doc_id", "entry_key"]
+DOC_KEY = ["index", "doc_id"]
+ENTRY_KEY = ["index", "doc_id", "entry_key"]
 
 
-def _field_names(ops: DataFrame) -> list[str]:
-    return ops.schema["fields"].dataType.names
+def _groups(ops: DataFrame, groups: list[list[str]] | None) -> list[list[str]]:
+    """The given groups, with every field they leave out on its own."""
+    names = ops.schema["fields"].dataType.names
+    grouped = [n for g in groups or [] for n in g]
+    return [*(groups or []), *[[n] for n in names if n not in grouped]]
 
 
-def lift(ops: DataFrame) -> DataFrame:
-    """One state row per operation."""
-    seq, kind = F.col("seq"), F.col("kind")
+def _merge(states: DataFrame, key: list[str]) -> DataFrame:
+    values = [c for c in states.columns if c not in key]
+    return states.groupBy(*key).agg(*[F.max(c).alias(c) for c in values])
+
+
+def merge_docs(states: DataFrame) -> DataFrame:
+    """One document row per key from any number of partial ones."""
+    return _merge(states, DOC_KEY)
+
+
+def merge_entries(states: DataFrame) -> DataFrame:
+    """One entry row per key from any number of partial ones."""
+    return _merge(states, ENTRY_KEY)
+
+
+def doc_state(ops: DataFrame, groups: list[list[str]] | None = None) -> DataFrame:
+    """Partial document state of operations.
+
+    `groups` lists fields that operations always write together: such a group
+    keeps one seq, and its newest write replaces all of its members.
+    """
+    seq, kind, body = F.col("seq"), F.col("kind"), F.col("fields")
     creates = (kind == UPSERT) | (kind.isin(MAP_REMOVE, MAP_CLEAR) & F.col("create_if_absent"))
-    lifted = {
-        f"f_{name}": F.when(
-            (kind == UPSERT) & F.col("fields")[name].isNotNull(),
-            F.struct(seq.alias("seq"), F.col("fields")[name].alias("value")),
+    written = {}
+    for names in _groups(ops, groups):
+        any_set = F.coalesce(*[body[n].cast("string") for n in names]).isNotNull()
+        value = F.struct(*[body[n].alias(n) for n in names])
+        written[f"g_{names[0]}"] = F.when(
+            (kind == UPSERT) & any_set, F.struct(seq.alias("seq"), value.alias("value"))
+        )
+    return merge_docs(
+        ops.select(
+            *DOC_KEY,
+            F.when(creates, seq).alias("created"),
+            F.when(kind == DELETE, seq).alias("deleted"),
+            *[c.alias(n) for n, c in written.items()],
         )
-        for name in _field_names(ops)
-    }
-    entry = F.when(
-        F.col("xattr_key").isNotNull(),
+    )
+
+
+def entry_state(ops: DataFrame) -> DataFrame:
+    """Partial map-entry state of operations.
+
+    The row without an entry key holds the last operation that emptied the
+    whole map: a DELETE of the document or a MAP_CLEAR.
+    """
+    seq, kind = F.col("seq"), F.col("kind")
+    resets = kind.isin(DELETE, MAP_CLEAR)
+    rows = ops.filter(resets | F.col("xattr_key").isNotNull()).select(
+        *DOC_KEY,
+        F.when(~resets, F.col("xattr_key")).alias("entry_key"),
         F.struct(
             seq.alias("seq"),
             (kind == UPSERT).alias("present"),
             F.col("xattr_raw").alias("raw"),
-        ),
+        ).alias("entry"),
     )
-    return ops.select(
-        "index",
-        "doc_id",
-        F.col("xattr_key").alias("entry_key"),
-        F.when(creates, seq).alias("created"),
-        F.when(kind == DELETE, seq).alias("deleted"),
-        F.when(kind == MAP_CLEAR, seq).alias("cleared"),
-        entry.alias("entry"),
-        *[c.alias(n) for n, c in lifted.items()],
-    )
-
+    return merge_entries(rows)
 
-def merge(states: DataFrame) -> DataFrame:
-    """One state row per key from any number of partial ones."""
-    values = [c for c in states.columns if c not in KEY]
-    return states.groupBy(*KEY).agg(*[F.max(c).alias(c) for c in values])
 
+def _after(seq: Column, limit: Column) -> Column:
+    return seq.isNotNull() & (limit.isNull() | (seq > limit))
 
-def reduce_ops(ops: DataFrame) -> DataFrame:
-    """Operations to a partial state."""
-    return merge(lift(ops))
 
+def documents(state: DataFrame) -> DataFrame:
+    """Live documents of a merged document state.
 
-def _after(pair: Column, limit: Column) -> Column:
-    return pair.isNotNull() & (limit.isNull() | (pair["seq"] > limit))
+    What happened at or before the last DELETE is gone; a document is live
+    when something after it created the document.
+    """
+    deleted = F.col("deleted")
+    fields = [
+        F.when(_after(F.col(g)["seq"], deleted), F.col(g)["value"][name]).alias(name)
+        for g in state.columns
+        if g.startswith("g_")
+        for name in state.schema[g].dataType["value"].dataType.names
+    ]
+    return state.filter(_after(F.col("created"), deleted)).select(*DOC_KEY, *fields)
 
 
-def documents(state: DataFrame) -> DataFrame:
-    """Live documents of a merged state.
+def entries(state: DataFrame) -> DataFrame:
+    """Map entries of a merged entry state.
 
-    What happened at or before the last DELETE is gone, map entries also at or
-    before the last MAP_CLEAR. A document is live when something after its
-    last DELETE created it. The map has one entry per key of the document, so
-    it is as large as the document itself.
+    An entry stays when its newest operation set it and nothing emptied the
+    map since.
     """
-    names = [c for c in state.columns if c.startswith("f_")]
-    docs = state.groupBy("index", "doc_id").agg(
-        F.max("created").alias("created"),
-        F.max("deleted").alias("deleted"),
-        F.max("cleared").alias("cleared"),
-        *[F.max(n).alias(n) for n in names],
-        F.collect_list(
-            F.when(F.col("entry_key").isNotNull(), F.struct(F.col("entry_key").alias("key"), "entry"))
-        ).alias("entries"),
-    )
-    deleted = F.col("deleted")
-    live = docs.filter(
-        F.col("created").isNotNull() & (deleted.isNull() | (F.col("created") > deleted))
+    resets = state.filter(F.col("entry_key").isNull()).select(
+        *DOC_KEY, F.col("entry")["seq"].alias("_reset")
     )
-    limit = F.greatest(deleted, F.col("cleared"))
-    kept = F.filter(
-        "entries", lambda e: e["entry"]["present"] & _after(e["entry"], limit)
-    )
-    xattrs = F.map_from_entries(
-        F.transform(kept, lambda e: F.struct(e["key"], e["entry"]["raw"]))
+    kept = state.filter(F.col("entry_key").isNotNull() & F.col("entry")["present"])
+    return (
+        lookup(kept, resets, DOC_KEY)
+        .filter(_after(F.col("entry")["seq"], F.col("_reset")))
+        .select(
+            *DOC_KEY,
+            F.col("entry_key").alias("xattr_key"),
+            F.col("entry")["raw"].alias("xattr_raw"),
+        )
     )
-    return live.select(
-        "index",
-        "doc_id",
-        *[
-            F.when(_after(F.col(n), deleted), F.col(n)["value"]).alias(n.removeprefix("f_"))
-            for n in names
-        ],
-        xattrs.alias("xattrs"),
+
+
+def with_maps(docs: DataFrame, entry_rows: DataFrame) -> DataFrame:
+    """Documents with their entries as a map column.
+
+    The map has one entry per key of the document, so it is as large as the
+    document itself.
+    """
+    maps = entry_rows.groupBy(*DOC_KEY).agg(
+        F.map_from_entries(F.collect_list(F.struct("xattr_key", "xattr_raw"))).alias("xattrs")
     )
+    return docs.join(maps, DOC_KEY, "left")
+
+
+def fold(ops: DataFrame, groups: list[list[str]] | None = None) -> DataFrame:
+    """The fields of the documents after all operations."""
+    return documents(doc_state(ops, groups))
 
 
-def fold(ops: DataFrame) -> DataFrame:
-    """The documents after all operations."""
-    return documents(reduce_ops(ops))
+def fold_entries(ops: DataFrame) -> DataFrame:
+    """The map entries of the documents after all operations."""
+    return entries(entry_state(ops))
 
 
-def entries(docs: DataFrame) -> DataFrame:
-    """The nested maps of documents, one row per entry."""
-    return docs.select("index", "doc_id", F.explode("xattrs").alias("xattr_key", "xattr_raw"))
+def fold_whole(ops: DataFrame, groups: list[list[str]] | None = None) -> DataFrame:
+    """X1 and X2 together; the operations are written once and read twice."""
+    written = materialize(ops, "doc-ops")
+    return with_maps(fold(written, groups), fold_entries(written))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 # A side is broadcast only when Catalyst estimates it below this many bytes.
 BROADCAST_LIMIT = 10 * 1024 * 1024
 # Keys above 1/64 of the rows are salted, so at most 64 keys can qualify.
@@ -41,6 +43,15 @@ def lookup(
     return salted_join(left, right, on, how)
 
 
+def sized(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """`df`, written first when its estimated size says nothing.
+
+    Catalyst multiplies the sizes of both sides of a join, so a lookup result
+    soon looks huge. Once written, its size is known and `lookup` can choose.
+    """
+    return df if estimated_bytes(df) <= limit else materialize(df, "sized")
+
+
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys holding more than `share` of the rows; at most 1/share of them."""
     total = df.agg(F.count(F.lit(1))).scalar()
@@ -130,47 +141,53 @@ def as_of(
     clock: str,
     version_clock: str,
     chunk: int = CHUNK,
+    points_of: DataFrame | None = None,
 ) -> DataFrame:
     """Every left row with the latest version at or before its clock.
 
-    The distinct (key, clock) points are resolved, not the rows. Integer
+    A key has at most one version per clock value. The distinct (key, clock) points are resolved, not the rows. Integer
     clocks are cut into chunks: inside a chunk a window sees at most `chunk`
     points and `chunk` versions; the last version of earlier chunks is carried
     over a summary of one row per chunk. The result is then looked up by the
     rows, with heavy (key, clock) pairs salted. Left rows without a version
-    keep null version columns.
+    keep null version columns. `points_of` names a cheaper frame with the same
+    keys and clocks as `left`.
     """
     payload = [c for c in versions.columns if c not in on]
     version = F.struct(*[F.col(c) for c in payload])
-    bucket = F.floor(F.col("_t") / F.lit(chunk))
     points = (
-        left.select(*on, F.col(clock).cast("long").alias("_t"))
+        (left if points_of is None else points_of)
+        .select(*on, F.col(clock).cast("long").alias("_t"))
         .distinct()
         .withColumn("_is_point", F.lit(1))
     )
-    marks = (
-        versions.withColumn("_t", F.col(version_clock).cast("long"))
-        .groupBy(*on, "_t")
-        .agg(F.max(version).alias("_v"))
-        .withColumn("_is_point", F.lit(0))
+    marks = versions.select(
+        *on,
+        F.col(version_clock).cast("long").alias("_t"),
+        F.lit(0).alias("_is_point"),
+        version.alias("_v"),
+    )
+    inside = (
+        Window.partitionBy(*on, "_b")
+        .orderBy("_t", "_is_point")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    line = points.unionByName(marks, allowMissingColumns=True).withColumn("_b", bucket)
-    inside = Window.partitionBy(*on, "_b").orderBy("_t", "_is_point")
-    local = line.withColumn(
-        "_local",
-        F.last("_v", ignorenulls=True).over(
-            inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
-    ).filter(F.col("_is_point") == 1)
+    line = (
+        points.unionByName(marks, allowMissingColumns=True)
+        .withColumn("_b", F.floor(F.col("_t") / F.lit(chunk)))
+        .withColumn("_local", F.last("_v", ignorenulls=True).over(inside))
+    )
+    # The newest row of a chunk knows the chunk's last version. Both uses of
+    # `line` need the same shuffle, which Spark runs once.
     ends = line.groupBy(*on, "_b").agg(
-        F.max(F.when(F.col("_v").isNotNull(), F.struct("_t", "_v"))).alias("_end")
+        F.max(F.struct("_t", "_is_point", "_local"))["_local"].alias("_end")
     )
     before = Window.partitionBy(*on).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select(
-        *on, "_b", F.last("_end", ignorenulls=True).over(before)["_v"].alias("_carry")
-    )
-    resolved = local.join(carry, [*on, "_b"], "left").select(
-        *on, F.col("_t"), F.coalesce("_local", "_carry").alias("_v")
+    carry = ends.select(*on, "_b", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    resolved = (
+        line.filter(F.col("_is_point") == 1)
+        .join(carry, [*on, "_b"], "left")
+        .select(*on, "_t", F.coalesce("_local", "_carry").alias("_v"))
     )
     rows = left.withColumn("_t", F.col(clock).cast("long"))
     return lookup(rows, resolved, [*on, "_t"]).drop("_t").select(*left.columns, "_v.*")

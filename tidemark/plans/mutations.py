@@ -26,7 +26,7 @@ from tidemark.operators.enrich import (
     with_current_xattr,
     with_owner_names,
 )
-from tidemark.operators.joins import lookup
+from tidemark.operators.joins import lookup, sized
 
 
 def _order(*columns: Column) -> Column:
@@ -88,7 +88,8 @@ def mutation_ops(
     )
     if named:
         resolved = resolve_datasets(mutations.select("dataset_id"), inodes, projects, datasets)
-        read = lookup(read, resolved.select("dataset_id", "project_id"), ["dataset_id"])
+        owner = sized(resolved.select("dataset_id", "project_id"))
+        read = lookup(read, owner, ["dataset_id"])
         body = D.inode_upsert(F.col("dataset_id"), F.coalesce("project_id", F.lit(MISSING_ID)))
     else:
         body = D.inode_upsert(F.lit(MISSING_ID), F.lit(MISSING_ID))

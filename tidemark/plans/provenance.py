@@ -152,8 +152,8 @@ def enriched(rows: DataFrame, inodes: DataFrame, buffer: DataFrame) -> DataFrame
     that follow derive their key sets from them.
     """
     typed = with_asset(rows).withColumn("phase", provenance_phase())
-    moded = with_store_mode(typed, buffer)
-    valued = materialize(_with_xattr_values(moded, buffer), "provenance")
+    moded = with_store_mode(_with_xattr_values(typed, buffer), buffer, points_of=typed)
+    valued = materialize(moded, "provenance")
     candidates = valued.select(
         F.explode(F.array("project_i_id", "core_project", "own_project")).alias("project")
     ).filter(F.col("project").isNotNull() & (F.col("project") != MISSING_ID))

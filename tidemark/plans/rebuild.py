@@ -22,9 +22,12 @@ from tidemark.session import materialize
 
 
 def dataset_roots(projects: DataFrame, datasets: DataFrame, inodes: DataFrame) -> DataFrame:
-    """Every dataset with its project directory and its own, null where missing."""
+    """Every dataset with its project directory and its own, null where missing.
+
+    Written once: the rebuild reads this list several times.
+    """
     dirs = with_project_inode(projects, inodes)
-    return with_dataset_inode(datasets, dirs, inodes)
+    return materialize(with_dataset_inode(datasets, dirs, inodes), "dataset-roots")
 
 
 def directory_roots(inodes: DataFrame, roots: DataFrame) -> DataFrame:

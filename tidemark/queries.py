@@ -543,26 +543,26 @@ def quarantine(t: Tables) -> DataFrame:
 # --- materialisation -------------------------------------------------------
 
 
-def _search_docs(t: Tables) -> DataFrame:
-    return fold.fold(ordering.union_feeds(_mutation_ops(t), _admin_ops(t)))
+def _search_ops(t: Tables) -> DataFrame:
+    return ordering.union_feeds(_mutation_ops(t), _admin_ops(t))
 
 
 @query
 def fold_documents(t: Tables) -> DataFrame:
     """X1 over D1-D5: the projects collection."""
-    return _search_docs(t).select("doc_id", *_flat())
+    return fold.fold(_search_ops(t), docops.SEARCH_GROUPS).select("doc_id", *_flat())
 
 
 @query
 def fold_map(t: Tables) -> DataFrame:
     """X2 over D6-D9: the xattrs of the projects collection."""
-    return fold.entries(_search_docs(t)).select("doc_id", "xattr_key", "xattr_raw")
+    return fold.fold_entries(_search_ops(t)).select("doc_id", "xattr_key", "xattr_raw")
 
 
 @query
 def fold_provenance(t: Tables) -> DataFrame:
     """X1 over D10-D17."""
-    docs = fold.fold(_provenance_ops(t))
+    docs = fold.fold(_provenance_ops(t), docops.PROVENANCE_GROUPS)
     return docs.select(
         F.col("index").alias("index_name"),
         "doc_id",
@@ -582,7 +582,7 @@ def fold_provenance(t: Tables) -> DataFrame:
 @query
 def fold_provenance_map(t: Tables) -> DataFrame:
     """X2 over D13, D14, D16: raw value, and the value where it is JSON."""
-    rows = fold.entries(fold.fold(_provenance_ops(t)))
+    rows = fold.fold_entries(_provenance_ops(t))
     return rows.select(
         F.col("index").alias("index_name"),
         "doc_id",
@@ -595,14 +595,14 @@ def fold_provenance_map(t: Tables) -> DataFrame:
 @query
 def fold_apps(t: Tables) -> DataFrame:
     """X1 over D18."""
-    docs = fold.fold(docops.app_states(t.app_log))
+    docs = fold.fold(docops.app_states(t.app_log), docops.APP_GROUPS)
     return docs.select("doc_id", "app_id", "app_state", F.col("timestamp").alias("state_time"), "app_name")
 
 
 @query
 def index_routing(t: Tables) -> DataFrame:
     """Documents per collection, read back from its folders."""
-    docs = fold.fold(_provenance_ops(t)).select("index", "doc_id", "entry_type")
+    docs = fold.fold(_provenance_ops(t), docops.PROVENANCE_GROUPS).select("index", "doc_id", "entry_type")
     written = materialize(docs, "collections", ["index"])
     return written.groupBy(F.col("index").alias("index_name"), "entry_type").agg(
         F.count(F.lit(1)).alias("documents")
@@ -643,7 +643,7 @@ def rebuild_tree(t: Tables) -> DataFrame:
 def rebuild_documents(t: Tables) -> DataFrame:
     """The collection as the rebuild writes it."""
     ops = rebuild.rebuild_ops(t.projects, t.datasets, t.inodes, t.users, t.groups, t.xattrs)
-    return fold.fold(ops).select("doc_id", *_flat())
+    return fold.fold(ops, docops.SEARCH_GROUPS).select("doc_id", *_flat())
 
 
 @query
@@ -882,7 +882,7 @@ def stream_replay(t: Tables) -> DataFrame:
     docs = drain(
         stream,
         to_ops,
-        StateTable(spark, f"{folder}/state"),
+        StateTable(spark, f"{folder}/state", docops.SEARCH_GROUPS),
         f"{folder}/checkpoint",
         EpochBarrier(spark, f"{folder}/open"),
     )

@@ -2,9 +2,10 @@
 
 Applying a micro-batch writes only its own folded operations, so the cost of a
 batch does not grow with the number of documents. A folder is named after the
-batches it covers, `state-<first>-<last>`; compaction writes one folder for a
-run of batches. Merging partial states is idempotent, so a batch that is
-applied again replaces its folder and nothing else.
+batches it covers, `state-<first>-<last>`, and holds document rows and entry
+rows apart; compaction writes one folder for a run of batches. Merging partial
+states is idempotent, so a batch that is applied again replaces its folder and
+nothing else.
 """
 
 from __future__ import annotations
@@ -12,23 +13,26 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators.fold import documents, merge, reduce_ops
+from tidemark.operators import fold
 
 NAME = re.compile(r"state-(\d+)-(\d+)$")
+Folder = tuple[int, int, str]
 
 
 class StateTable:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, groups: list[list[str]] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.groups = groups
 
     def _filesystem(self):
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(self.path)
         return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def folders(self) -> list[tuple[int, int, str]]:
+    def folders(self) -> list[Folder]:
         """Completely written folders as (first batch, last batch, path)."""
         folder, fs = self._filesystem()
         if not fs.exists(folder):
@@ -42,7 +46,7 @@ class StateTable:
                 found.append((int(name[1]), int(name[2]), status.getPath().toString()))
         return found
 
-    def current(self) -> list[tuple[int, int, str]]:
+    def current(self) -> list[Folder]:
         """The folders that together hold every batch once, widest first."""
         cover, last = [], -1
         for first, end, path in sorted(self.folders(), key=lambda f: (f[0], -f[1])):
@@ -51,36 +55,65 @@ class StateTable:
                 last = end
         return cover
 
-    def _write(self, state: DataFrame, first: int, last: int) -> None:
-        state.write.mode("overwrite").parquet(f"{self.path}/state-{first}-{last}")
+    def _write(self, docs: DataFrame, entries: DataFrame, first: int, last: int) -> None:
+        rows = docs.withColumn("part", F.lit("docs")).unionByName(
+            entries.withColumn("part", F.lit("entries")), allowMissingColumns=True
+        )
+        rows.write.mode("overwrite").partitionBy("part").parquet(
+            f"{self.path}/state-{first}-{last}"
+        )
 
-    def apply(self, ops: DataFrame, batch_id: int) -> None:
-        """X1 for one micro-batch: write its folded operations."""
-        self._write(reduce_ops(ops), batch_id, batch_id)
-
-    def state(self, cover: list[tuple[int, int, str]] | None = None) -> DataFrame:
-        chosen = self.current() if cover is None else cover
-        if not chosen:
+    def _read(self, cover: list[Folder], part: str) -> DataFrame:
+        if not cover:
             raise ValueError(f"no state in {self.path}")
-        schema = self.spark.read.parquet(chosen[0][2]).schema
-        return merge(self.spark.read.schema(schema).parquet(*[p for _, _, p in chosen]))
+        schema = self.spark.read.parquet(cover[0][2]).schema
+        rows = None
+        for _, _, path in cover:
+            one = self.spark.read.schema(schema).parquet(path).filter(F.col("part") == part)
+            rows = one if rows is None else rows.unionByName(one)
+        wanted = [
+            c
+            for c in schema.names
+            if c in fold.ENTRY_KEY[:2] or (c in ("entry_key", "entry")) == (part == "entries")
+        ]
+        return rows.select(*[c for c in wanted if c != "part"])
+
+    def doc_state(self, cover: list[Folder] | None = None) -> DataFrame:
+        return fold.merge_docs(self._read(self.current() if cover is None else cover, "docs"))
+
+    def entry_state(self, cover: list[Folder] | None = None) -> DataFrame:
+        return fold.merge_entries(
+            self._read(self.current() if cover is None else cover, "entries")
+        )
+
+    def apply(self, ops: DataFrame, batch_id: int) -> None:
+        """X1, X2 for one micro-batch: write its folded operations."""
+        ops = ops.persist()
+        try:
+            self._write(fold.doc_state(ops, self.groups), fold.entry_state(ops), batch_id, batch_id)
+        finally:
+            ops.unpersist()
 
     def documents(self) -> DataFrame:
         """The live documents after every applied batch."""
-        return documents(self.state())
+        return fold.documents(self.doc_state())
+
+    def entries(self) -> DataFrame:
+        """Their map entries."""
+        return fold.entries(self.entry_state())
 
     def compact(self, fan_in: int = 8) -> None:
-        """Merge the newest run of at least `fan_in` folders into one.
+        """Merge the newest run of folders of similar width into one.
 
-        Runs are chosen by width, so a batch is rewritten a logarithmic number
-        of times over the life of the table.
+        A folder joins the run while it is at most `fan_in` times as wide as
+        the next newer one, so a batch is rewritten a logarithmic number of
+        times over the life of the table.
         """
-        cover = self.current()
-        run: list[tuple[int, int, str]] = []
-        for folder in reversed(cover):
+        run: list[Folder] = []
+        for folder in reversed(self.current()):
             width = folder[1] - folder[0] + 1
             if run and width > fan_in * (run[0][1] - run[0][0] + 1):
                 break
             run.insert(0, folder)
         if len(run) >= fan_in:
-            self._write(self.state(run), run[0][0], run[-1][1])
+            self._write(self.doc_state(run), self.entry_state(run), run[0][0], run[-1][1])
