@@ -7,6 +7,8 @@ member of `fields` is not mentioned by the operation.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,10 +66,15 @@ APP_GROUPS = [
 ]
 
 
+@cache
+def _schema(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
 def fields(ddl: str, **values: Column) -> Column:
     """A fields struct with the given members set and all others null."""
     members = []
-    for f in T.StructType.fromDDL(ddl).fields:
+    for f in _schema(ddl).fields:
         value = values.pop(f.name, None)
         member = F.lit(None) if value is None else value
         members.append(member.cast(f.dataType).alias(f.name))
@@ -147,7 +154,7 @@ def project_upsert(project: Column, user: Column, name: Column, description: Col
 
 def no_fields(ddl: str = SEARCH_FIELDS) -> Column:
     """The fields of an operation that mentions none."""
-    return F.lit(None).cast(T.StructType.fromDDL(ddl))
+    return F.lit(None).cast(_schema(ddl))
 
 
 def delete_doc(doc_id: Column, ddl: str = SEARCH_FIELDS) -> Column:

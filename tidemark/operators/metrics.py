@@ -8,8 +8,10 @@ the bulk), `request_ms` (start of the sink request), `done_ms` (its end),
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Metric names.
 MEANS = [
@@ -133,32 +135,13 @@ def long_form(metrics: DataFrame) -> DataFrame:
     return rows.filter(F.col("value").isNotNull() & ~silent)
 
 
-def general_number(value: Column) -> Column:
-    """A number with six significant digits, as the text lines print it.
+@F.pandas_udf(T.StringType())
+def general_number(value: pd.Series) -> pd.Series:
+    """Six significant digits without trailing zeros, exponents where shorter.
 
-    Plain notation between 1e-4 and 1e6, otherwise `d.ddddde+XX`; trailing
-    zeros are not printed.
+    Only the finished report lines pass through here, a few per scope window.
     """
-
-    def stripped(text: Column) -> Column:
-        return F.when(
-            text.contains("."), F.regexp_replace(text, r"\.?0+$", "")
-        ).otherwise(text)
-
-    # The exponent after rounding to six digits, read from the formatted text.
-    scientific = F.format_string("%.5e", value)
-    exponent = F.split(scientific, "e")[1].cast("int")
-    mantissa = F.split(scientific, "e")[0]
-    sign = F.when(exponent < 0, "-").otherwise("+")
-    small = F.concat(
-        stripped(mantissa), F.lit("e"), sign, F.lpad(F.abs(exponent).cast("string"), 2, "0")
-    )
-    plain = F.lit(None).cast("string")
-    for e in range(-4, 6):
-        plain = F.when(exponent == e, stripped(F.format_string(f"%.{5 - e}f", value))).otherwise(
-            plain
-        )
-    return F.when(value == 0, F.lit("0")).otherwise(F.coalesce(plain, small))
+    return value.map(lambda x: f"{x:g}", na_action="ignore")
 
 
 def text_lines(metrics: DataFrame, prefix: str) -> DataFrame:
