@@ -246,13 +246,14 @@ from (
 where i < stored
 """
 
+# An inode has a row if the feed says that it was created.
 PROVENANCE_INODES = """
 select cast(2 as bigint) as parent_id, r_name as name, cast(2 as bigint) as partition_id,
   cast(100 + r_regionkey as bigint) as id
 from @region
 union all
 select distinct parent_i_id, i_name, i_partition_id, inode_id from (@provenance) p
-where dataset_i_id % 4 <> 0
+where inode_operation = 'CREATE'
 """
 
 # Batches of 100 changes, flushes of 10 batches; times follow the arrivals.
@@ -321,11 +322,18 @@ RENAMES = {
 WRITTEN = {"provenance"}
 
 
-def select_text(name: str, dialect: dict[str, str], source_prefix: str = "") -> str:
-    """The SELECT of a derived table with everything it builds on in place."""
+def select_text(
+    name: str, dialect: dict[str, str], source_prefix: str = "", views: tuple[str, ...] = ()
+) -> str:
+    """The SELECT of a derived table with everything it builds on in place.
+
+    Inner tables named in `views` are read from a view of that name instead.
+    """
     text = DERIVED[name].strip()
     for inner in ("provenance", "feed"):
-        if f"(@{inner})" in text:
+        if inner in views:
+            text = text.replace(f"(@{inner})", f"{source_prefix}{inner}")
+        elif f"(@{inner})" in text:
             text = text.replace(f"(@{inner})", f"({select_text(inner, dialect, source_prefix)})")
     for token, value in dialect.items():
         text = text.replace(token, value)
@@ -350,7 +358,9 @@ class Tables:
             return self.source(name)
         if name not in DERIVED:
             raise AttributeError(name)
-        text = select_text(name, SPARK, "src_")
+        text = select_text(name, SPARK, "src_", ("provenance",))
+        if "src_provenance" in text:
+            self.provenance.createOrReplaceTempView("src_provenance")
         for source in SOURCES:
             if f"src_{source}" in text and source not in self._views:
                 self.source(source).createOrReplaceTempView(f"src_{source}")

@@ -150,8 +150,11 @@ def fold(ops: DataFrame, groups: list[list[str]] | None = None) -> DataFrame:
 
 
 def fold_entries(ops: DataFrame) -> DataFrame:
-    """The map entries of the documents after all operations."""
-    return entries(entry_state(ops))
+    """The map entries of the documents after all operations.
+
+    The merged state is written because it is read twice.
+    """
+    return entries(materialize(entry_state(ops), "entry-state"))
 
 
 def fold_whole(ops: DataFrame, groups: list[list[str]] | None = None) -> DataFrame:

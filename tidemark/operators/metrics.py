@@ -135,13 +135,17 @@ def long_form(metrics: DataFrame) -> DataFrame:
     return rows.filter(F.col("value").isNotNull() & ~silent)
 
 
-@F.pandas_udf(T.StringType())
-def general_number(value: pd.Series) -> pd.Series:
+def general_number(value: Column) -> Column:
     """Six significant digits without trailing zeros, exponents where shorter.
 
     Only the finished report lines pass through here, a few per scope window.
+    The function is local so that executors need no copy of this package.
     """
-    return value.map(lambda x: f"{x:g}", na_action="ignore")
+
+    def render(numbers: pd.Series) -> pd.Series:
+        return numbers.map(lambda x: f"{x:g}", na_action="ignore")
+
+    return F.pandas_udf(render, T.StringType())(value)
 
 
 def text_lines(metrics: DataFrame, prefix: str) -> DataFrame:

@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 def write_collections(docs: DataFrame, path: str) -> None:
     """Documents into one folder per collection.
 
-    Documents of one collection are spread over several files by their id, so
-    a large collection is not written by one task.
+    Rows are brought together by collection so that small ones get few files;
+    the rebalance splits a large one over as many tasks as its size asks for.
     """
-    docs.repartition("index", F.pmod(F.xxhash64("doc_id"), F.lit(64))).write.mode(
-        "overwrite"
-    ).partitionBy("index").parquet(path)
+    docs.hint("rebalance", "index").write.mode("overwrite").partitionBy("index").parquet(path)
 
 
 def split_problems(rows: DataFrame, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:

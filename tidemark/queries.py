@@ -6,6 +6,7 @@ Results are flat: document structs become columns, maps become rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ from tidemark.operators import (
     sink,
 )
 from tidemark.plans import cascade, mutations, provenance, rebuild
-from tidemark.session import materialize, shared_root
+from tidemark.session import shared_root
 from tidemark.sources import feeds
+from tidemark.streaming.pipeline import EpochBarrier, drain
+from tidemark.streaming.state_table import StateTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -602,8 +605,10 @@ def fold_apps(t: Tables) -> DataFrame:
 @query
 def index_routing(t: Tables) -> DataFrame:
     """Documents per collection, read back from its folders."""
-    docs = fold.fold(_provenance_ops(t), docops.PROVENANCE_GROUPS).select("index", "doc_id", "entry_type")
-    written = materialize(docs, "collections", ["index"])
+    docs = fold.fold(_provenance_ops(t), docops.PROVENANCE_GROUPS)
+    path = f"{shared_root(t.spark)}/collections-{uuid4().hex}"
+    sink.write_collections(docs.select("index", "doc_id", "entry_type"), path)
+    written = t.spark.read.schema("doc_id string, entry_type string, index string").parquet(path)
     return written.groupBy(F.col("index").alias("index_name"), "entry_type").agg(
         F.count(F.lit(1)).alias("documents")
     )
@@ -858,11 +863,6 @@ def stream_replay(t: Tables) -> DataFrame:
 
     Same result as `fold_documents` without the admin log.
     """
-    from uuid import uuid4
-
-    from tidemark.streaming.pipeline import EpochBarrier, drain
-    from tidemark.streaming.state_table import StateTable
-
     spark = t.spark
     feed = t.mutations
     folder = f"{shared_root(spark)}/stream-{uuid4().hex}"
