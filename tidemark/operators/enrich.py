@@ -9,7 +9,7 @@ from tidemark.functions.classify import FEATURE_SUFFIX
 from tidemark.functions.codes import CORE_XATTR, MISSING_ID, MISSING_NAME, USER_NAMESPACE
 from tidemark.functions.values import store_mode
 from tidemark.operators.assemble import assemble, assemble_strict
-from tidemark.operators.joins import as_of, keep_existing, lookup, sized, unique_match
+from tidemark.operators.joins import as_of, keep_existing, lookup, unique_match
 from tidemark.session import materialize
 
 ROOT_PARENT = 1
@@ -109,7 +109,8 @@ def resolve_datasets(
         F.col("name").alias("_store_project"),
     )
     resolved = lookup(lookup(ids, own, ["dataset_id"]), by_path, ["_parent"])
-    resolved = lookup(resolved, sized(stores), ["dataset_name"])
+    # Both sides hold distinct ids or names, so no key is heavy.
+    resolved = resolved.join(stores, ["dataset_name"], "left")
     is_store = F.coalesce(F.col("dataset_name").endswith(FEATURE_SUFFIX), F.lit(False))
     return resolved.select(
         "dataset_id",

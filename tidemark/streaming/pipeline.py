@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import union_feeds
+from tidemark.session import configure
 from tidemark.streaming.state_table import StateTable
 
 OPEN = re.compile(r"open-(\d+)$")
@@ -68,8 +69,13 @@ def apply_stream(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = barrier.release(batch, batch_id) if barrier else batch
-        store.apply(to_ops(rows), batch_id)
+        # Streams run in a session of their own, with adaptive execution off.
+        configure(batch.sparkSession)
+        rows = (barrier.release(batch, batch_id) if barrier else batch).persist()
+        try:
+            store.apply(to_ops(rows), batch_id)
+        finally:
+            rows.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
             store.compact(compact_every)
 
