@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.byte_bpe import encoded
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.licenses import licenses
 from tidemark.llm.mixing import mix
 
 
@@ -13,8 +15,21 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_mix": op3_mix, "op8_exact_dedup": op8_exact_dedup}
+QUERIES = {
+    "op3_mix": op3_mix,
+    "op4_licenses": op4_licenses,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op8_exact_dedup": op8_exact_dedup,
+}
