@@ -7,10 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.byte_bpe import encoded
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.fingerprints import order_fingerprints
 from tidemark.llm.licenses import licenses
 from tidemark.llm.mixing import mix
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,6 +33,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
     "op3_mix": op3_mix,
     "op4_licenses": op4_licenses,
     "op6_byte_bpe": op6_byte_bpe,
