@@ -8,8 +8,10 @@ from tidemark.llm.byte_bpe import encoded
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.fingerprints import order_fingerprints
+from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.licenses import licenses
 from tidemark.llm.mixing import mix
+from tidemark.llm.quality import scored
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +26,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -32,10 +38,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op3_mix": op3_mix,
     "op4_licenses": op4_licenses,
+    "op5_quality": op5_quality,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_jaccard": op10_jaccard,
 }
