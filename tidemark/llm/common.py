@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from functools import cache
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,3 +29,34 @@ def whole_text(text: str = "text") -> Column:
 def packed(df: DataFrame, columns: list[str] | None = None) -> Column:
     """The named columns as one struct, so that no name of theirs can clash."""
     return F.struct(*[F.col(f"`{c}`") for c in (df.columns if columns is None else columns)])
+
+
+@cache
+def _archive() -> str:
+    """The library as one archive, for executors that do not have it."""
+    package = Path(__file__).resolve().parents[1]
+    handle, path = tempfile.mkstemp(prefix="tidemark-", suffix=".zip")
+    os.close(handle)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    return path
+
+
+@cache
+def _shipped(application: str, add: Callable[[str], None]) -> None:
+    add(_archive())
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import the library: Spark sends it to every executor."""
+    context = spark.sparkContext
+    _shipped(context.applicationId, context.addPyFile)
+
+
+def arrow_map(
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
+) -> DataFrame:
+    """`mapInArrow` with a function of this library."""
+    ship(df.sparkSession)
+    return df.mapInArrow(work, schema)

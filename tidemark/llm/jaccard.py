@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import mix, shingle_sets
+from tidemark.llm.common import arrow_map
 from tidemark.llm.components import components
 from tidemark.session import materialize
 
@@ -78,8 +79,8 @@ def shingle_counts(df: DataFrame, text: str, k: int, bits: int = ORDER_BITS) ->
                 names=["block", "counts"],
             )
 
-    parts = df.select(F.col(text).cast("string")).mapInArrow(count, "block int, counts binary")
-    summed = parts.repartition("block").mapInArrow(add, "block int, counts binary")
+    parts = arrow_map(df.select(F.col(text).cast("string")), count, "block int, counts binary")
+    summed = arrow_map(parts.repartition("block"), add, "block int, counts binary")
     out = np.zeros((1 << (bits - width), 1 << width), dtype=np.int64)
     for row in summed.collect():
         out[row["block"]] += np.frombuffer(row["counts"], dtype=np.int64)
@@ -143,7 +144,7 @@ def prefixes(
     orders = "".join(f", order{i} array<int>" for i in range(len(ORDERS)))
     schema = f"_id {kind}, _hash bigint, n_shingles bigint, node binary, rare array<bigint>{orders}"
     body = F.col(text).cast("string")
-    return df.select(F.col(key), F.xxhash64(body), body).mapInArrow(work, schema)
+    return arrow_map(df.select(F.col(key), F.xxhash64(body), body), work, schema)
 
 
 def live_postings(profiles: DataFrame) -> DataFrame:
@@ -250,7 +251,7 @@ class _Verifier:
         docs = self.df.select(F.col(self.key).alias("_id"), F.col(self.text).cast("string").alias("_text"))
         same = docs["_id"].eqNullSafe(first["_id"])
         chosen = docs.join(first.select("_id").distinct(), same, "left_semi")
-        sets = chosen.select("_id", "_text").mapInArrow(work, "node binary, shingles array<bigint>")
+        sets = arrow_map(chosen.select("_id", "_text"), work, "node binary, shingles array<bigint>")
         self.sets = materialize(sets, "sets")
 
     def links(self, candidates: DataFrame) -> DataFrame:

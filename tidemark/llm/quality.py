@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrays import LOWER, SPACE, _powers, groups, mix
+from tidemark.llm.arrays import LOWER, SPACE, groups, mix, range_hashes
+from tidemark.llm.common import arrow_map
 from tidemark.session import materialize
 
 ROWS, DIM, UNITS, WINDOW = 4096, 32, 2, 2
@@ -50,10 +51,7 @@ def tokens(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(edge & (kind > 0))
     stop = np.flatnonzero(edge)
     last = np.append(stop, n)[np.searchsorted(stop, first) + 1]
-    power, inverse = _powers(max(n - 1, 1).bit_length() + 1)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    hashes = mix((total[last] - total[first]) * inverse[first])
+    hashes = range_hashes(low, first, last)
     capital = np.concatenate(([0], np.cumsum(given != low)))
     capitals = capital[last] - capital[first]
     shape = np.where(capitals == 0, 0, np.where((capitals == last - first) & (last - first > 1), 2, 1))
@@ -132,9 +130,9 @@ def word_vectors(df: DataFrame, text: str = "text") -> np.ndarray:
                 names=["block", "sums"],
             )
 
-    parts = df.select(F.col(text).cast("string")).mapInArrow(count, "block int, sums binary")
+    parts = arrow_map(df.select(F.col(text).cast("string")), count, "block int, sums binary")
     total = np.zeros((ROWS, DIM + 1))
-    for row in parts.repartition("block").mapInArrow(add, "block int, sums binary").collect():
+    for row in arrow_map(parts.repartition("block"), add, "block int, sums binary").collect():
         part = np.frombuffer(row["sums"], dtype="<f8").reshape(-1, DIM + 1)
         total[row["block"] : row["block"] + block] += part
     # All sums are whole numbers: their order does not matter, reruns agree.
@@ -284,7 +282,7 @@ def train(
                 names=["id", "label", "spot", "x"],
             )
 
-    got = rows.mapInArrow(work, "id string, label int, spot bigint, x binary").toPandas()
+    got = arrow_map(rows, work, "id string, label int, spot bigint, x binary").toPandas()
     got = got.sort_values(["spot", "id", "x"]).head(sample)
     width = 2 * DIM + 11
     x = np.frombuffer(b"".join(got["x"]), dtype="<f4").reshape(-1, width).astype(np.float64)
@@ -330,7 +328,7 @@ def scored(
                 [*columns, pa.array(net.scores(x), pa.float64())], names=out_schema.names
             )
 
-    rows = given.mapInArrow(work, out_schema)
+    rows = arrow_map(given, work, out_schema)
     return rows.select(
         F.col("_key").alias(key),
         F.col("_held").alias("held_out"),

@@ -12,6 +12,7 @@ from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.licenses import licenses
 from tidemark.llm.mixing import mix
 from tidemark.llm.quality import scored
+from tidemark.llm.wavelet import token_file
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +35,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ QUERIES = {
     "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_wavelet": op7_wavelet,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_jaccard": op10_jaccard,
 }
