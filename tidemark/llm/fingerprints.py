@@ -139,44 +139,42 @@ def as_text(sketch: Column) -> Column:
     return F.array_join(digits, "")
 
 
+# A document's identity without nulls, so that one shuffle serves all steps.
+IDENTITY = ["_null", "_id", "_hash"]
+
+
 def neighbours(docs: DataFrame) -> DataFrame:
-    """(_id, _hash) of each distinct document with those of the one after it,
-    in descending order, and the number of code points that one lends."""
-    ids = docs.groupBy("_id", "_hash").agg(F.max("_n").alias("_n"))
-    descending = ids.withColumns(
-        {"_null": F.col("_id").isNull().cast("int"), "_down": -F.col("_id"), "_turn": -(F.col("_hash") + 1)}
-    )
-    placed = commit_position(descending, ["_null", "_down", "_turn"], "_place").drop("_null", "_down", "_turn")
+    """Each distinct document's identity with that of the one it lends to, and
+    the number of code points it lends: `_for_null`, `_for_id`, `_for_hash`, `_take`."""
+    ids = docs.groupBy(*IDENTITY).agg(F.max("_n").alias("_n"))
+    turned = ids.withColumns({"_down": -F.col("_id"), "_turn": F.bitwise_not(F.col("_hash"))})
+    placed = commit_position(turned, ["_null", "_down", "_turn"], "_place").drop("_down", "_turn")
     placed = materialize(placed, "places")
     last = placed.agg(F.max("_place")).first()[0] or 0
+    following = F.when(F.col("_place") == last, F.lit(1).cast("long")).otherwise(F.col("_place") + 1)
     wanted = placed.select(
-        F.when(F.col("_place") == last, F.lit(1).cast("long")).otherwise(F.col("_place") + 1).alias("_place"),
-        F.col("_id").alias("_for_id"),
-        F.col("_hash").alias("_for_hash"),
-        F.expr("_n div 3").alias("_take"),
+        following.alias("_place"), *[F.col(c).alias(f"_for{c}") for c in IDENTITY], F.expr("_n div 3").alias("_take")
     )
-    return placed.join(wanted, "_place").select("_id", "_hash", "_for_id", "_for_hash", "_take")
+    return placed.join(wanted, "_place").select(*IDENTITY, *[f"_for{c}" for c in IDENTITY], "_take")
 
 
 def edited(docs: DataFrame, links: DataFrame) -> DataFrame:
     """Documents with `_edited`: the last third replaced by the start of the next.
 
-    The texts are shuffled once on their key, and what a text lends once more.
+    Both joins read the texts from one shuffle on their identity; what a text
+    lends is shuffled once more. The result stays partitioned by identity.
     """
-    same = docs["_id"].eqNullSafe(links["_id"]) & (docs["_hash"] == links["_hash"])
+    # The same columns as below, so that Spark reuses the shuffle of the texts.
     lent = (
-        docs.join(links, same)
-        .select("_for_id", "_for_hash", F.expr("substr(_text, 1, _take)").alias("_lent"))
-        .dropDuplicates(["_for_id", "_for_hash"])
-    )
-    mine = docs["_id"].eqNullSafe(lent["_for_id"]) & (docs["_hash"] == lent["_for_hash"])
-    return docs.join(lent, mine).select(
-        docs["_id"],
-        docs["_hash"],
-        docs["_n"],
-        docs["_text"],
-        F.concat(F.expr("substr(_text, 1, _n - _n div 3)"), F.col("_lent")).alias("_edited"),
+        docs.join(links, IDENTITY)
+        .select(
+            *[F.col(f"_for{c}").alias(c) for c in IDENTITY],
+            F.expr("substr(_text, 1, least(_take, _n))").alias("_lent"),
+        )
+        .dropDuplicates(IDENTITY)
     )
+    changed = F.concat(F.expr("substr(_text, 1, _n - _n div 3)"), F.col("_lent"))
+    return docs.join(lent, IDENTITY).select(*IDENTITY, "_n", "_text", changed.alias("_edited"))
 
 
 def order_fingerprints(
@@ -184,49 +182,51 @@ def order_fingerprints(
 ) -> DataFrame:
     """One row per distinct (key, text): both fingerprints and their likenesses.
 
-    Documents stand in descending order of key, null last, equal keys by a hash
-    of their text; the last is followed by the first. In the edited text the
-    last n_chars div 3 code points give way to as many of the next document, or
-    to all it has. Null is the empty text. Rows repeated in full count once.
-    Texts without words have the fingerprint of zeros and are alike. Other
-    columns are ignored; an empty table gives no rows.
+    Documents stand in descending order of their integer key, null last, equal
+    keys by a hash of their text; the last is followed by the first. In the
+    edited text the last n_chars div 3 code points give way to as many of the
+    next document, or to all it has. Null is the empty text. Rows repeated in
+    full count once. Texts without words have the fingerprint of zeros and are
+    alike. Other columns are ignored; an empty table gives no rows.
     """
-    docs = df.select(F.col(key).alias("_id"), whole_text(text).alias("_text"))
-    docs = docs.withColumns({"_hash": F.xxhash64("_text"), "_n": F.char_length("_text").cast("long")})
+    body = whole_text(text)
+    docs = df.select(
+        F.col(key).isNull().alias("_null"),
+        F.coalesce(F.col(key), F.lit(0)).cast("long").alias("_id"),
+        F.xxhash64(body).alias("_hash"),
+        F.char_length(body).cast("long").alias("_n"),
+        body.alias("_text"),
+    )
     links = materialize(neighbours(docs), "neighbours")
-    both = edited(docs, links)
-    # Each text with a flag for its edited form, side by side: one pass over both.
-    forms = both.select(
-        "_id",
-        "_hash",
+    forms = edited(docs, links).select(
+        *IDENTITY,
         "_n",
-        F.when(F.lit(True), F.sha2("_edited", 256)).alias("_sha"),
-        F.explode(F.array(
-            F.struct(F.lit(False).alias("new"), F.col("_text").alias("text")),
-            F.struct(F.lit(True).alias("new"), F.col("_edited").alias("text")),
-        )).alias("_form"),
-    ).select("_id", "_hash", "_n", "_sha", F.col("_form.new").alias("_new"), F.col("_form.text").alias("_body"))
-    ids = ["_id", "_hash", "_n", "_sha", "_new"]
-    sketched = fingerprints(forms, ids, "_body", sketches, k)
-    pairs = sketched.groupBy("_id", "_hash", "_n", "_sha").agg(
+        F.unhex(F.sha2("_edited", 256)).alias("_sha"),
+        F.explode(
+            F.array(
+                F.struct(F.lit(False).alias("new"), F.col("_text").alias("text")),
+                F.struct(F.lit(True).alias("new"), F.col("_edited").alias("text")),
+            )
+        ).alias("_form"),
+    )
+    forms = forms.select(
+        *IDENTITY, "_n", "_sha", F.col("_form.new").alias("_new"), F.col("_form.text").alias("_body")
+    )
+    sketched = fingerprints(forms, [*IDENTITY, "_n", "_sha", "_new"], "_body", sketches, k)
+    pairs = sketched.groupBy(*IDENTITY, "_n", "_sha").agg(
         F.max(F.when(~F.col("_new"), F.col("sketch"))).alias("_own"),
         F.max(F.when(F.col("_new"), F.col("sketch"))).alias("_edit"),
     )
     pairs = materialize(pairs, "fingerprints")
-    lender = links.select(
-        F.col("_for_id").alias("_a_id"), F.col("_for_hash").alias("_a_hash"), "_id", "_hash"
+    next_own = (
+        links.select(*IDENTITY, *[f"_for{c}" for c in IDENTITY])
+        .join(pairs.select(*IDENTITY, F.col("_own").alias("_next")), IDENTITY)
+        .select(*[F.col(f"_for{c}").alias(c) for c in IDENTITY], "_next")
     )
-    following = pairs.select("_id", "_hash", F.col("_own").alias("_next"))
-    following = lender.join(
-        following.withColumnsRenamed({"_id": "_b_id", "_hash": "_b_hash"}),
-        F.col("_id").eqNullSafe(F.col("_b_id")) & (F.col("_hash") == F.col("_b_hash")),
-    ).select("_a_id", "_a_hash", "_next")
-    return pairs.join(
-        following, F.col("_id").eqNullSafe(F.col("_a_id")) & (F.col("_hash") == F.col("_a_hash"))
-    ).select(
-        F.col("_id").alias(key),
+    return pairs.join(next_own, IDENTITY).select(
+        F.when(~F.col("_null"), F.col("_id")).cast(df.schema[key].dataType).alias(key),
         F.col("_n").alias("n_chars"),
-        F.col("_sha").alias("edited_sha256"),
+        F.lower(F.hex("_sha")).alias("edited_sha256"),
         as_text(F.col("_own")).alias("fingerprint"),
         as_text(F.col("_edit")).alias("edited_fingerprint"),
         likeness(F.col("_own"), F.col("_edit")).alias("near_edited"),
