@@ -12,6 +12,8 @@ from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.licenses import licenses
 from tidemark.llm.mixing import mix
 from tidemark.llm.quality import scored
+from tidemark.llm.token_counts import token_counts
+from tidemark.llm.warc import archived_pages
 from tidemark.llm.wavelet import token_file
 
 
@@ -19,6 +21,10 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,17 +49,23 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
+    "op2_token_counts": op2_token_counts,
     "op3_mix": op3_mix,
     "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_wavelet": op7_wavelet,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_warc": op9_warc,
     "op10_jaccard": op10_jaccard,
 }
