@@ -41,6 +41,16 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def range_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges [first, last): a polynomial in the bytes,
+    taken from running sums and shifted back to the start of each range."""
+    n = len(data)
+    power, inverse = _powers(max(n - 1, 1).bit_length() + 1)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
+    return mix((total[last] - total[first]) * inverse[first])
+
+
 def groups(texts: list[str]) -> Iterator[list[bytes]]:
     """UTF-8 texts in groups of about GROUP bytes; a longer text stands alone."""
     group, held = [], 0
@@ -64,16 +74,13 @@ def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     joined = np.frombuffer(b" ".join(raws) + b" ", dtype=np.uint8)
     joined = LOWER[joined]
     n = len(joined)
-    power, inverse = _powers(max(n - 1, 1).bit_length() + 1)
     space = SPACE[joined]
     edge = np.empty(n, dtype=bool)
     edge[0] = ~space[0]
     np.not_equal(space[1:], space[:-1], out=edge[1:])
     at = np.flatnonzero(edge)
     first, last = at[0::2], at[1::2]
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((joined.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    hashes = mix((total[last] - total[first]) * inverse[first])
+    hashes = range_hashes(joined, first, last)
     ends = np.cumsum([len(r) + 1 for r in raws])
     offsets = np.concatenate(([0], np.searchsorted(first, ends)))
     return hashes, offsets

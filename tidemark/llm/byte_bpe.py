@@ -15,7 +15,7 @@ import base64
 import hashlib
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -24,9 +24,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.arrays import mix, range_hashes
+from tidemark.llm.common import arrow_map
+
 RANKS = "byte_bpe_50k.tiktoken"
-# Entries of a task's slice cache; a full cache starts anew.
-CACHE = 1 << 20
+# Places of a task's table of slices, as a power of two, and the ids it may hold.
+TABLE_BITS, POOL = 22, 1 << 24
 # Texts are worked on in groups of about so many code points.
 GROUP = 1 << 16
 
@@ -253,60 +256,114 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class SliceCache(dict):
-    """Slice to ids as little-endian 32-bit integers."""
-
-    def __init__(self, encode, size: int = CACHE):
-        super().__init__()
-        self.encode, self.size = encode, size
-
-    def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= self.size:
-            self.clear()
-        ids = np.array(self.encode(piece), dtype="<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+class SliceTable:
+    """Ids of slices met before, by a hash of their bytes and their length.
 
+    A table of fixed size: a slice has two places, and in the second it takes
+    that of another one. What the table holds only decides what is merged anew.
+    It is looked up for all slices of a group at once.
+    """
 
-def pretokens(texts: list[str]) -> Iterator[list[bytes]]:
-    """The slices of each text, in UTF-8, for a group of texts at a time."""
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], bits: int = TABLE_BITS):
+        self.encode, self.shift = encode, np.uint64(64 - bits)
+        self.hash = np.zeros(1 << bits, dtype=np.uint64)
+        self.size, self.at, self.count = (np.zeros(1 << bits, dtype=np.int32) for _ in range(3))
+        self.pool = np.empty(1 << 16, dtype="<u4")
+        self.used = 0
+
+    def _slots(self, hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Where each slice is, or else where it may go: of its two places the
+        second if the first is taken by another slice."""
+        slot = (hashes >> self.shift).astype(np.int64)
+        taken = np.flatnonzero(((self.hash[slot] != hashes) | (self.size[slot] != size)) & (self.size[slot] > 0))
+        second = (mix(hashes[taken], 9) >> self.shift).astype(np.int64)
+        slot[taken] = second
+        return slot
+
+    def ids(self, raw: bytes, first: np.ndarray, last: np.ndarray, hashes: np.ndarray):
+        """All ids of the slices raw[first:last] in a row, and how many each has."""
+        if self.used > POOL:
+            self.size[:] = 0
+            self.used = 0
+        size = (last - first).astype(np.int32)
+        slot = self._slots(hashes, size)
+        at, count = self.at[slot].astype(np.int64), self.count[slot].astype(np.int64)
+        new = np.flatnonzero((self.hash[slot] != hashes) | (self.size[slot] != size))
+        if len(new):
+            _, index, inverse = np.unique(hashes[new], return_index=True, return_inverse=True)
+            which = new[index]
+            found = self.encode([raw[a:b] for a, b in zip(first[which].tolist(), last[which].tolist())])
+            counts = np.array([len(f) for f in found], dtype=np.int64)
+            starts = self.used + np.cumsum(counts) - counts
+            end = int(self.used + counts.sum())
+            if end > len(self.pool):
+                grown = np.empty(max(end, 2 * len(self.pool)), dtype="<u4")
+                grown[: self.used] = self.pool[: self.used]
+                self.pool = grown
+            self.pool[self.used : end] = np.concatenate([np.asarray(f, dtype="<u4") for f in found])
+            self.used = end
+            at[new], count[new] = starts[inverse], counts[inverse]
+            own = slot[which]
+            # Entries of one group that want the same place: the last one has it.
+            self.hash[own], self.size[own] = hashes[which], size[which]
+            self.at[own], self.count[own] = starts, counts
+        return self.pool[spread(at, count)], count
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for count[0] numbers, then from start[1], and so on."""
+    before = np.cumsum(count) - count
+    return np.repeat(start - before, count) + np.arange(int(count.sum()))
+
+
+def text_groups(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in groups of about GROUP code points; a longer one stands alone."""
     group: list[str] = []
     held = 0
     for text in texts:
+        if group and held + len(text) > GROUP:
+            yield group
+            group, held = [], 0
         group.append(text)
         held += len(text) + 1
-        if held >= GROUP:
-            yield from _slices(group)
-            group, held = [], 0
     if group:
-        yield from _slices(group)
+        yield group
 
 
-def _slices(texts: list[str]) -> Iterator[list[bytes]]:
+def slices(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """UTF-8 of the joined texts, first and last byte of every pre-token in it,
+    and the number of the first pre-token of each text and of the end."""
     stop = sys.maxunicode + 1
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     # Laid out with one STOP after each text.
     joined = "\0".join(texts) + "\0"
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    points = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4").astype(np.int64)
     ends = np.cumsum(sizes + 1) - 1
     points[ends] = stop
     raw = joined.encode("utf-8")
-    if len(raw) == len(points):
-        offset = None
-    else:
+    cuts = np.flatnonzero(starts(points))
+    at = cuts
+    if len(raw) != len(points):
         width = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
         width[ends] = 1
-        offset = np.concatenate(([0], np.cumsum(width)))
-    cuts = np.flatnonzero(starts(points))
-    at = cuts if offset is None else offset[cuts]
-    # A text's slices lie between the cut after the STOP before it and its own STOP.
+        at = (np.cumsum(width) - width)[cuts]
+    # Each STOP is a slice of its own, which is left out.
     closing = np.searchsorted(cuts, ends)
-    at = at.tolist()
-    first = 0
-    for last in closing.tolist():
-        yield [raw[a:b] for a, b in zip(at[first:last], at[first + 1 : last + 1])]
-        first = last + 1
+    keep = np.ones(len(cuts), dtype=bool)
+    keep[closing] = False
+    first = at[keep]
+    last = np.append(at[1:], len(raw))[keep]
+    return raw, first, last, np.concatenate(([0], closing + 1 - np.arange(1, len(texts) + 1)))
+
+
+def encode_texts(table: SliceTable, texts: list[str]) -> Iterator[np.ndarray]:
+    """Ids of each text."""
+    for group in text_groups(texts):
+        raw, first, last, bounds = slices(group)
+        ids, counts = table.ids(raw, first, last, range_hashes(np.frombuffer(raw, dtype=np.uint8), first, last))
+        ends = np.concatenate(([0], np.cumsum(counts)))[bounds].tolist()
+        for a, b in zip(ends[:-1], ends[1:]):
+            yield ids[a:b]
 
 
 class Codec:
@@ -314,24 +371,23 @@ class Codec:
 
     def __init__(self, path: str):
         self.ranks = load_ranks(path)
-        self.cache = SliceCache(lambda piece: merge(piece, self.ranks))
-        top = max(self.ranks.values()) + 1
-        self.tokens = [b""] * top
+        self.table = SliceTable(lambda pieces: [merge(p, self.ranks) for p in pieces])
+        self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
         self.widths = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        self.places = np.cumsum(self.widths) - self.widths
+        self.flat = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        get = self.cache.__getitem__
-        for pieces in pretokens(texts):
-            yield np.frombuffer(b"".join(map(get, pieces)), dtype="<u4")
+        return encode_texts(self.table, texts)
 
     def offsets(self, ids: np.ndarray) -> np.ndarray:
         """Where each token starts in the decoded bytes, and their number."""
         return np.concatenate(([0], np.cumsum(self.widths[ids])))
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        return self.flat[spread(self.places[ids], self.widths[ids])].tobytes()
 
 
 @cache
@@ -340,7 +396,12 @@ def codec(path: str) -> Codec:
 
 
 def encoded(
-    df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, with_ids: bool = True
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    path: str | None = None,
+    with_ids: bool = True,
+    with_offsets: bool = False,
 ) -> DataFrame:
     """Per row: key, n_tokens, ids_sha256, decoded_sha256, n_bytes, ids, offsets.
 
@@ -348,34 +409,40 @@ def encoded(
     special tokens; `offsets` has each token's first byte in the decoded text.
     Null is the empty text, which has no ids. Rows are independent: repeated
     rows, null keys and other columns change nothing, and an empty table gives
-    no rows. Without `with_ids` the two arrays are left out.
+    no rows. The two arrays are returned as asked for.
     """
     path = path or public_tokenizers.path(RANKS)
     kind = df.schema[key].dataType.simpleString()
-    arrays = ", ids array<int>, offsets array<bigint>" if with_ids else ""
-    columns = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint"
+    arrays = (["ids"] if with_ids else []) + (["offsets"] if with_offsets else [])
+    names = [key, "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", *arrays]
 
     def work(batches):
         tool = codec(path)
         for batch in batches:
-            keys, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            counts, hashes, decoded, sizes, ids_out, offsets_out = [], [], [], [], [], []
-            for ids in tool.encode(texts):
+            out: dict[str, list] = {name: [] for name in names[1:]}
+            for ids in tool.encode([t or "" for t in batch.column(1).to_pylist()]):
                 plain = tool.decode(ids)
-                counts.append(len(ids))
-                hashes.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(plain).hexdigest())
-                sizes.append(len(plain))
+                out["n_tokens"].append(len(ids))
+                out["ids_sha256"].append(hashlib.sha256(ids.tobytes()).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(plain).hexdigest())
+                out["n_bytes"].append(len(plain))
                 if with_ids:
-                    ids_out.append(ids.astype(np.int32))
-                    offsets_out.append(tool.offsets(ids)[:-1])
-            data = [keys, pa.array(counts, pa.int64()), pa.array(hashes, pa.string())]
-            data += [pa.array(decoded, pa.string()), pa.array(sizes, pa.int64())]
-            if with_ids:
-                data += [pa.array(ids_out, pa.list_(pa.int32())), pa.array(offsets_out, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(data, names=names)
-
-    names = [key, "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"]
-    names += ["ids", "offsets"] if with_ids else []
+                    out["ids"].append(ids.astype(np.int32))
+                if with_offsets:
+                    out["offsets"].append(tool.offsets(ids)[:-1])
+            columns = [pa.array(out[n], types[n]) for n in names[1:]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+
+    types = {
+        "n_tokens": pa.int64(),
+        "ids_sha256": pa.string(),
+        "decoded_sha256": pa.string(),
+        "n_bytes": pa.int64(),
+        "ids": pa.list_(pa.int32()),
+        "offsets": pa.list_(pa.int64()),
+    }
+    fixed = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint"
+    kinds = {"ids": "array<int>", "offsets": "array<bigint>"}
+    schema = ", ".join([f"`{key}` {kind}", fixed, *[f"{a} {kinds[a]}" for a in arrays]])
     small = df.select(F.col(key), F.col(text).cast("string").alias("_text"))
-    return small.mapInArrow(work, f"`{key}` {kind}, {columns}{arrays}")
+    return arrow_map(small, work, schema)
