@@ -349,7 +349,9 @@ class WarcReader(DataSourceReader):
                     parts.append(Part(info.path, 0, None))
         return parts
 
-    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Part | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark passes where there are no partitions
+            return
         fs, _ = store(self.path)
         tests = [_test(f) for f in self.filters]
         with_payload = "payload" in self.names
