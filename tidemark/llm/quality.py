@@ -252,8 +252,9 @@ def train(
 ) -> Network:
     """A network fitted on at most about `sample` labelled rows that are not held out.
 
-    The rows are drawn by a hash of their key, so reruns agree. What reaches the
-    driver is bounded by `sample` rows of features.
+    The keys are drawn by a hash, so reruns agree; of several rows with one key
+    the one with the least features counts. So at most `sample` rows of features
+    reach the driver.
     """
     known = (
         labels.filter(F.col("quality").isNotNull() & F.col(key).isNotNull() & ~held_out(key))
@@ -262,12 +263,12 @@ def train(
     )
     spot = F.pmod(F.xxhash64("_id", F.lit(SEED)), F.lit(1_000_000))
     known = materialize(known.withColumn("_spot", spot), "labels")
-    total = known.count()
-    # A share of the keys with a margin of five deviations under the bound.
-    share = min(1.0, max(sample - 5 * sample**0.5, 0) / max(total, 1))
-    known = known.filter(F.col("_spot") < int(share * 1_000_000))
+    share = min(1.0, sample / max(known.count(), 1))
+    while (chosen := known.filter(F.col("_spot") < int(share * 1_000_000))).count() > sample:
+        share *= 0.95
     docs = df.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
-    rows = docs.join(known, "_id").select("_id", "_text", "_label", "_spot")
+    # At most `sample` keys are sent around, so the texts stay where they are.
+    rows = docs.join(F.broadcast(chosen), "_id").select("_id", "_text", "_label", "_spot")
 
     def work(batches):
         for batch in batches:
@@ -282,8 +283,9 @@ def train(
                 names=["id", "label", "spot", "x"],
             )
 
-    got = arrow_map(rows, work, "id string, label int, spot bigint, x binary").toPandas()
-    got = got.sort_values(["spot", "id", "x"]).head(sample)
+    found = arrow_map(rows, work, "id string, label int, spot bigint, x binary")
+    one = found.groupBy("id").agg(F.min(F.struct("spot", "label", "x")).alias("_m")).select("id", "_m.*")
+    got = one.toPandas().sort_values(["spot", "id"])
     width = 2 * DIM + 11
     x = np.frombuffer(b"".join(got["x"]), dtype="<f4").reshape(-1, width).astype(np.float64)
     y = got["label"].to_numpy(dtype=np.float64)
