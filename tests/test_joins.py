@@ -17,8 +17,17 @@ def skewed(spark, n=600):
 def test_salted_join_equals_plain_join(spark, how):
     _, _, left, right = skewed(spark)
     plain = left.join(right, ["k"], how)
-    salted = joins.lookup(left, right, ["k"], how, limit=0).select(plain.columns)
+    hot = joins.hot_keys(left, ["k"], 0.2)
+    salted = joins.salted_join(left, right, ["k"], hot, how).select(plain.columns)
     assert rows(salted) == rows(plain)
+    assert rows(joins.lookup(left, right, ["k"], how, grows=True)) == rows(plain)
+
+
+def test_a_side_that_an_explode_made_is_never_broadcast(spark):
+    left = spark.range(5).withColumnRenamed("id", "k")
+    right = spark.range(3).selectExpr("explode(sequence(id, id + 2)) as k")
+    plan = joins.lookup(left, right, ["k"], grows=True)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
 def test_salted_join_spreads_the_hot_key(spark):

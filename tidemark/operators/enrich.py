@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.classify import FEATURE_SUFFIX
@@ -22,25 +22,31 @@ def projects_inode(inodes: DataFrame) -> DataFrame:
     return found.agg(F.max("id").alias("projects_id"))
 
 
-def with_current_inode(mutations: DataFrame, inodes: DataFrame) -> DataFrame:
+def with_current_inode(
+    mutations: DataFrame, inodes: DataFrame, needed: Column | None = None
+) -> DataFrame:
     """The current row of the mutated inode.
 
     Looked up by (parent, name, partition); a row of another inode that now
-    carries that name does not count. `inode_found` tells a miss.
+    carries that name does not count. `inode_found` tells a miss. Rows for
+    which `needed` is false keep their key and find nothing.
     """
+    needed = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
     current = inodes.select(
         F.col("parent_id").alias("inode_parent_id"),
         F.col("name").alias("inode_name"),
         F.col("partition_id").alias("inode_partition_id"),
+        F.lit(True).alias("_needed"),
         F.col("id").alias("_found_id"),
         "size",
         "user_id",
         "group_id",
     )
-    joined = lookup(mutations, current, ["inode_parent_id", "inode_name", "inode_partition_id"])
+    key = ["inode_parent_id", "inode_name", "inode_partition_id", "_needed"]
+    joined = lookup(mutations.withColumn("_needed", needed), current, key)
     found = F.coalesce(F.col("_found_id") == F.col("inode_id"), F.lit(False))
     hit = {c: F.when(F.col("inode_found"), F.col(c)) for c in ("size", "user_id", "group_id")}
-    return joined.withColumn("inode_found", found).withColumns(hit).drop("_found_id")
+    return joined.withColumn("inode_found", found).withColumns(hit).drop("_found_id", "_needed")
 
 
 def with_owner_names(
@@ -108,9 +114,12 @@ def resolve_datasets(
         F.col("id").alias("_store_id"),
         F.col("name").alias("_store_project"),
     )
+    # Only feature stores are looked up by name, which many datasets share.
+    store_rows = lookup(
+        own.filter(F.col("dataset_name").endswith(FEATURE_SUFFIX)), stores, ["dataset_name"], "inner"
+    ).select("dataset_id", "_store_id", "_store_project")
     resolved = lookup(lookup(ids, own, ["dataset_id"]), by_path, ["_parent"])
-    # Both sides hold distinct ids or names, so no key is heavy.
-    resolved = resolved.join(stores, ["dataset_name"], "left")
+    resolved = lookup(resolved, store_rows, ["dataset_id"])
     is_store = F.coalesce(F.col("dataset_name").endswith(FEATURE_SUFFIX), F.lit(False))
     return resolved.select(
         "dataset_id",
@@ -128,13 +137,19 @@ def resolve_datasets(
 XATTR_ID = ["inode_id", "namespace", "name"]
 
 
+def xattrs_of(mutations: DataFrame, xattrs: DataFrame) -> DataFrame:
+    """The xattr parts of the inodes that changed; only these are assembled."""
+    return keep_existing(xattrs, mutations, ["inode_id"])
+
+
 def with_current_xattr(mutations: DataFrame, xattrs: DataFrame) -> DataFrame:
     """The assembled xattr a mutation names; `xattr_found` tells a miss.
 
     A value whose parts are not all there yet counts as incomplete, not as
     removed: `xattr_complete` is false and the caller keeps the change back.
     """
-    values = assemble(xattrs, XATTR_ID).select(
+    named = xattrs_of(mutations, xattrs)
+    values = assemble(named, XATTR_ID).select(
         "inode_id",
         F.col("namespace").alias("xattr_namespace"),
         F.col("name").alias("xattr_name"),
@@ -158,7 +173,7 @@ def xattrs_of_inode(xattrs: DataFrame) -> DataFrame:
 
 def with_all_xattrs(mutations: DataFrame, xattrs: DataFrame) -> DataFrame:
     """Every xattr of the inode, one row each; none gives one row without."""
-    joined = lookup(mutations, xattrs_of_inode(xattrs), ["inode_id"])
+    joined = lookup(mutations, xattrs_of_inode(xattrs_of(mutations, xattrs)), ["inode_id"])
     return joined.select(*mutations.columns, F.posexplode_outer("xattrs").alias("xattr_no", "_x")).select(
         *mutations.columns,
         "xattr_no",
@@ -171,9 +186,15 @@ def with_all_xattrs(mutations: DataFrame, xattrs: DataFrame) -> DataFrame:
 BUFFER_ID = ["inode_id", "namespace", "name", "inode_logical_time"]
 
 
-def store_mode_versions(buffer: DataFrame) -> DataFrame:
-    """Assembled store-mode values of datasets, parsed."""
+def store_mode_versions(buffer: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
+    """Assembled store-mode values of datasets, parsed.
+
+    With `datasets(dataset_i_id)` only theirs are assembled.
+    """
     core = buffer.filter((F.col("namespace") == USER_NAMESPACE) & (F.col("name") == CORE_XATTR))
+    if datasets is not None:
+        wanted = datasets.select(F.col("dataset_i_id").alias("inode_id"))
+        core = keep_existing(core, wanted, ["inode_id"])
     whole = assemble_strict(core, BUFFER_ID)
     return whole.select(
         F.col("inode_id").alias("dataset_i_id"),
@@ -200,7 +221,7 @@ def with_store_mode(
     """
     return as_of(
         rows,
-        store_mode_versions(buffer),
+        store_mode_versions(buffer, rows if points_of is None else points_of),
         ["dataset_i_id"],
         "ds_logical_time",
         "core_time",
@@ -210,7 +231,8 @@ def with_store_mode(
 
 def with_buffered_xattr(rows: DataFrame, buffer: DataFrame) -> DataFrame:
     """The value an xattr change wrote, null unless all parts are there."""
-    values = assemble_strict(buffer.filter(F.col("namespace") == USER_NAMESPACE), BUFFER_ID).select(
+    buffered = keep_existing(buffer.filter(F.col("namespace") == USER_NAMESPACE), rows, ["inode_id"])
+    values = assemble_strict(buffered, BUFFER_ID).select(
         "inode_id",
         F.col("name").alias("i_xattr_name"),
         F.col("inode_logical_time").alias("io_logical_time"),

@@ -1,4 +1,4 @@
-"""Keyed lookups as joins: size-checked broadcast, salting beyond it, as-of.
+"""Keyed lookups as joins: plain, salted for known heavy keys, as-of.
 
 No window or collected group here grows with the number of rows of one key,
 so a key that holds a large share of a table does not end up in one task.
@@ -9,10 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
-
-# A side is broadcast only when Catalyst estimates it below this many bytes.
-BROADCAST_LIMIT = 10 * 1024 * 1024
 # Keys above 1/64 of the rows are salted, so at most 64 keys can qualify.
 HOT_SHARE = 1.0 / 64
 SALTS = 64
@@ -20,71 +16,59 @@ SALTS = 64
 CHUNK = 1 << 16
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for the optimised plan of `df`."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
 def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "left",
-    limit: int = BROADCAST_LIMIT,
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", grows: bool = False
 ) -> DataFrame:
     """Left rows with the matching right row, whatever the sizes and the skew.
 
-    A right side whose estimated size is within `limit` is broadcast; a larger
-    one is joined by shuffle with the left side's heavy keys salted.
+    Stated as a plain join. A written side within Spark's limit is broadcast;
+    any other is shuffled, and adaptive execution then decides by the measured
+    sizes and splits the partitions that a heavy key fills. With `grows`, for a
+    right side that an explode has made and whose size no estimate knows, the
+    join sorts both sides and is never a broadcast.
     """
-    if estimated_bytes(right) <= limit:
-        return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how)
+    return left.join(right.hint("merge") if grows else right, on, how)
 
 
-def sized(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """`df`, written first when its estimated size says nothing.
+def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
+    """Keys holding more than `share` of the rows; at most 1/share of them.
 
-    Catalyst multiplies the sizes of both sides of a join, so a lookup result
-    soon looks huge. Once written, its size is known and `lookup` can choose.
+    Reads `df` twice: give it a written table, once per feed.
     """
-    return df if estimated_bytes(df) <= limit else materialize(df, "sized")
-
-
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than `share` of the rows; at most 1/share of them."""
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = df.agg(F.count(F.lit(1)).alias("_total"))
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > total * F.lit(share)).select(*on)
+    heavy = F.col("_n") > F.col("_total") * F.lit(share)
+    return counts.join(F.broadcast(total), heavy).select(*on)
 
 
 def salted_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
+    hot: DataFrame,
     how: str = "left",
-    share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join whose heavy left keys are spread over `salts` partitions.
 
-    Only the heavy keys (a list bounded by 1/share) are salted: their right
-    rows are repeated once per salt, every other row keeps salt 0. The salt is
-    a hash of the left row, so a re-run task assigns the same one.
+    For keys so heavy that splitting a partition does not do. `hot` is the
+    bounded list of `hot_keys`, known beforehand, so each side is read once:
+    the right rows of its keys are repeated once per salt, all other rows keep
+    salt 0. The salt is a hash of the left row, so a re-run task assigns the
+    same one.
     """
-    hot = hot_keys(left, on, share).withColumn("_hot", F.lit(True))
+    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     spread = [
         f.name
         for f in left.schema.fields
         if f.name not in on and f.dataType.typeName() not in ("map", "variant")
     ]
     row_hash = F.xxhash64(*[F.col(c) for c in spread] or [F.lit(0)])
-    salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
+    salted_left = left.join(marked, on, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int")
     )
     copies = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
-    salted_right = right.join(F.broadcast(hot), on, "left").withColumn(
+    salted_right = right.join(marked, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), copies))
     )
     return (
@@ -99,9 +83,11 @@ def keep_existing(left: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return lookup(left, keys.select(*on).distinct(), on, "left_semi")
 
 
-def keep_missing(left: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+def keep_missing(
+    left: DataFrame, keys: DataFrame, on: list[str], grows: bool = False
+) -> DataFrame:
     """L6, negative, and L9: rows whose key does not occur in `keys`."""
-    return lookup(left, keys.select(*on).distinct(), on, "left_anti")
+    return lookup(left, keys.select(*on).distinct(), on, "left_anti", grows)
 
 
 def unique_match(df: DataFrame, key: list[str]) -> DataFrame:
@@ -149,7 +135,7 @@ def as_of(
     clocks are cut into chunks: inside a chunk a window sees at most `chunk`
     points and `chunk` versions; the last version of earlier chunks is carried
     over a summary of one row per chunk. The result is then looked up by the
-    rows, with heavy (key, clock) pairs salted. Left rows without a version
+    rows. Left rows without a version
     keep null version columns. `points_of` names a cheaper frame with the same
     keys and clocks as `left`.
     """
@@ -174,7 +160,7 @@ def as_of(
     )
     line = (
         points.unionByName(marks, allowMissingColumns=True)
-        .withColumn("_b", F.floor(F.col("_t") / F.lit(chunk)))
+        .withColumn("_b", F.expr(f"(_t - pmod(_t, {chunk})) div {chunk}"))
         .withColumn("_local", F.last("_v", ignorenulls=True).over(inside))
     )
     # The newest row of a chunk knows the chunk's last version. Both uses of

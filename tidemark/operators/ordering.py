@@ -103,8 +103,11 @@ def union_feeds(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def count_batches(positioned: DataFrame, size: int, out: str = "batch_id") -> DataFrame:
-    """O10, batch form: rows in commit order cut into batches of `size`."""
-    return positioned.withColumn(out, F.floor((F.col("position") - 1) / F.lit(size)))
+    """Rows in commit order grouped by `size`, for reports over slices of a feed.
+
+    Flow control of a running feed is the stream's trigger and its rate limit.
+    """
+    return positioned.withColumn(out, F.expr(f"(position - 1) div {int(size)}"))
 
 
 def byte_bundles(
@@ -118,6 +121,6 @@ def byte_bundles(
     timing. (key, clock) must be unique.
     """
     total = running_total(bulks, key, clock, size, "_total")
-    return total.withColumn(out, F.floor((F.col("_total") - F.col(size)) / F.lit(limit))).drop(
+    return total.withColumn(out, F.expr(f"(_total - `{size}`) div {int(limit)}")).drop(
         "_total"
     )

@@ -28,7 +28,7 @@ def companion_parts(acked: DataFrame) -> DataFrame:
 
 def remaining_buffer(buffer: DataFrame, acked: DataFrame) -> DataFrame:
     """K2, K4: the buffer without the freed parts."""
-    return keep_missing(buffer, companion_parts(acked), BUFFER_PART_KEY)
+    return keep_missing(buffer, companion_parts(acked), BUFFER_PART_KEY, grows=True)
 
 
 def delete_matching(

@@ -50,7 +50,7 @@ def running_total(
     (key, clock) must be unique. Rows of one key are cut into clock chunks,
     summed inside a chunk, and shifted by the total of the earlier chunks.
     """
-    rows = df.withColumn("_b", F.floor(F.col(clock) / F.lit(chunk)))
+    rows = df.withColumn("_b", F.expr(f"(`{clock}` - pmod(`{clock}`, {chunk})) div {chunk}"))
     inside = (
         Window.partitionBy(*key, "_b")
         .orderBy(clock)

@@ -464,8 +464,10 @@ oracle(
     ["admin_log"],
     """
 select id, case op_on when 0 then 'Dataset' else 'Project' end as target,
+  case op_type when 0 then 'Add' when 1 then 'Delete' when 2 then 'Update' else 'Unkown' end
+    as op_name,
   case op_id when 0 then 'Add' when 1 then 'Delete' when 2 then 'Update' else 'Unkown' end
-    as op_name
+    as unknown_name
 from admin_log
 """,
 )
@@ -563,7 +565,8 @@ select {MUT_HEAD}, 0, 'MAP_REMOVE', 'update', m.pk3, null, {doc()}
 from mutations m left join assembled a on a.inode_id = m.inode_id and a.name = m.pk3
 where operation in (10, 12) and (a.name is null or (a.complete and operation = 12))
 union all
-select {MUT_HEAD}, 0, case when a.name is null then 'MAP_CLEAR' else 'UPSERT' end, 'update',
+select {MUT_HEAD}, cast(row_number() over (partition by m.dataset_id, m.inode_id, m.logical_time
+    order by a.name) - 1 as int), case when a.name is null then 'MAP_CLEAR' else 'UPSERT' end, 'update',
   a.name, a.whole, {doc()}
 from mutations m left join assembled a on a.inode_id = m.inode_id where operation = 11
 """,
@@ -851,9 +854,11 @@ oracle(
 oracle(
     "fold_apps",
     ["app_states"],
-    """
+    f"""
 select id || '-' || app_state || '-' || state_time as doc_id, id as app_id, app_state, state_time,
-  arg_max(name, struct_pack(a := commit_epoch, b := state, c := timestamp)) as app_name
+  arg_max(name, struct_pack(a := commit_epoch, b := state, c := timestamp)) as app_name,
+  arg_max(user_name, struct_pack(a := commit_epoch, b := state, c := timestamp)) as app_owner,
+  {READABLE.format('state_time')} as readable
 from app_states group by id, app_state, state_time
 """,
 )
@@ -964,15 +969,27 @@ select *, projects - missing_projects + datasets + inodes as documents from (
   select (select count(*) from projects) as projects,
     (select count(*) from projects p where not exists (select 1 from inodes i
        where i.parent_id = 2 and i.name = p.projectname)) as missing_projects,
-    (select count(*) from roots where dataset_inode is not null) as datasets,
+    (select count(distinct dataset_inode) from roots) as datasets,
     (select count(*) from roots where dataset_inode is null) as missing_datasets,
     (select count(*) from tree) as inodes,
     (select count(*) from assembled a join tree t on t.id = a.inode_id and t.num_user_xattrs > 0)
       as xattrs,
     (select count(*) from tree t where t.num_user_xattrs > 0
-       and not exists (select 1 from assembled a where a.inode_id = t.id)) as missing_xattrs) s
-""",
-    TREE,
+       and not exists (select 1 from assembled a where a.inode_id = t.id)) as missing_xattrs,
+    (select count(*) from inodes i where is_dir and partition_id = parent_id
+       and id not in (select dataset_inode from roots where dataset_inode is not null)
+       and id not in (select id from reached)) as cyclic_directories) s
+""",
+    TREE
+    + """,
+reached as (
+  select id from inodes where is_dir and partition_id = parent_id
+    and (parent_id not in (select id from inodes where is_dir and partition_id = parent_id)
+      or parent_id in (select dataset_inode from roots where dataset_inode is not null))
+  union
+  select i.id from inodes i join reached r on i.parent_id = r.id
+  where is_dir and partition_id = parent_id
+)""",
 )
 
 # --- cascade ---------------------------------------------------------------
@@ -1239,3 +1256,70 @@ from mutation_ops
 """,
 )
 oracle("stream_replay", ["stream_ops"], folded("stream_ops", "doc_id", [n for n, _ in FIELDS]))
+block(
+    "admin_only",
+    ["admin_ops"],
+    f"""
+select *, true as create_if_absent,
+  dense_rank() over (order by commit_epoch, major, minor, tie, op_no) as sq
+from (select doc_id, commit_epoch, major, minor, tie, op_no, kind, null as xattr_key,
+    null as xattr_raw, {FIELD_LIST} from admin_ops) o
+""",
+)
+oracle("stream_admin", ["admin_only"], folded("admin_only", "doc_id", [n for n, _ in FIELDS]))
+for streamed, whole in (
+    ("stream_apps", "fold_apps"),
+    ("stream_quarantine", "quarantine"),
+    ("stream_retention", "retention_buffer"),
+):
+    ORACLES[streamed] = ORACLES[whole]
+oracle(
+    "xattr_incomplete",
+    ["mutations", "assembled"],
+    f"""
+select {LOG_PK.replace("dataset_id", "m.dataset_id").replace("inode_id", "m.inode_id")} as log_pk,
+  logical_time, pk3 as xattr_name
+from mutations m join assembled a on a.inode_id = m.inode_id and a.name = m.pk3
+where operation in (10, 12) and not a.complete
+""",
+)
+oracle(
+    "lookup_skewed",
+    [],
+    """
+select l_orderkey, l_linenumber, k as s_suppkey, s_name, s_nationkey
+from (select *, case when l_linenumber <= 2 then 1 else l_suppkey end as k from lineitem) l
+left join supplier on s_suppkey = k
+""",
+)
+for rows, uses, names in (
+    (
+        "mutations",
+        "mutations",
+        "dataset_id, inode_id, logical_time, pk1, pk2, pk3, operation, inode_partition_id, inode_parent_id, inode_name",
+    ),
+    ("admin", "admin_log", "id, op_id, op_on, op_type, op_id as project_id, dataset_id, inode_id"),
+    (
+        "provenance",
+        "provenance",
+        "inode_id, inode_operation, io_logical_time, io_timestamp, io_app_id, io_user_id, tb, i_partition_id, "
+        "project_i_id, dataset_i_id, parent_i_id, i_name, project_name, dataset_name, i_p1_name, i_p2_name, "
+        "i_parent_name, i_user_name, i_xattr_name, io_logical_time_batch, io_timestamp_batch, ds_logical_time, "
+        "i_xattr_num_parts",
+    ),
+    (
+        "apps",
+        "app_log",
+        "id, state, timestamp as changed_ms, name as app_name, user_name, submit_time, start_time, finish_time",
+    ),
+):
+    oracle(f"feed_rows_{rows}", [uses], f"select commit_epoch, {names} from {uses}")
+oracle(
+    "feed_deleted_rows",
+    [],
+    """
+select p_partkey as commit_epoch, p_partkey as PART_ID, p_partkey * 2 as SD_ID,
+  cast(p_size as bigint) as TBL_ID, p_name as PART_NAME
+from part where p_size > 25
+""",
+)

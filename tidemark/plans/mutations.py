@@ -18,15 +18,16 @@ from tidemark.functions.codes import (
 from tidemark.functions.keys import MUTATION_KEY, PROJECTS_INDEX, key_string
 from tidemark.functions.values import namespace
 from tidemark.operators import docops as D
+from tidemark.operators.assemble import assemble
 from tidemark.operators.enrich import (
+    XATTR_ID,
     resolve_datasets,
     with_admin_target,
-    with_all_xattrs,
     with_current_inode,
-    with_current_xattr,
     with_owner_names,
 )
-from tidemark.operators.joins import lookup, sized
+from tidemark.operators.joins import keep_existing, lookup
+from tidemark.session import materialize
 
 
 def _order(*columns: Column) -> Column:
@@ -57,6 +58,47 @@ def _explode(rows: DataFrame, ops: Column, event_type: Column) -> DataFrame:
     )
 
 
+def with_named_xattrs(mutations: DataFrame, xattrs: DataFrame) -> DataFrame:
+    """J6, J7 in one lookup: `xattrs`, those of the inode that the change names.
+
+    An array of (namespace, name, value, complete): one entry or none for an add
+    or update, with the value cut to its counted parts; all, with every part
+    there is, for a change of all. Null for other changes. Only the parts of the
+    inodes in question are assembled, and these are few per inode.
+    """
+    code = F.col("operation")
+    one, every = code.isin(XATTR_ADD, XATTR_UPDATE), code == XATTR_ADD_ALL
+    asked = mutations.filter(one | every).select("inode_id")
+    parts = keep_existing(xattrs, asked, ["inode_id"])
+    whole = assemble(parts, XATTR_ID, counted=False).select(*XATTR_ID, F.col("value").alias("_all"))
+    counted = assemble(parts, XATTR_ID).select(*XATTR_ID, "value", "complete")
+    both = counted.join(whole, XATTR_ID)
+    kept = F.struct("namespace", "name", "value", "complete", "_all")
+    by_inode = both.groupBy("inode_id").agg(F.array_sort(F.collect_list(kept)).alias("_xattrs"))
+    # Other changes carry another key, so that they are not heaped on a null.
+    joined = lookup(
+        mutations.withColumn("_asks", one | every), by_inode.withColumn("_asks", F.lit(True)), ["inode_id", "_asks"]
+    )
+    space, name = namespace(F.col("pk2")), F.col("pk3")
+    listed = F.coalesce("_xattrs", F.array().cast(joined.schema["_xattrs"].dataType))
+    hit = F.filter(listed, lambda x: (x["namespace"] == space) & (x["name"] == name))
+    entry = lambda x, value: F.struct(
+        x["namespace"].alias("namespace"), x["name"].alias("name"), value.alias("value"), x["complete"].alias("complete")
+    )
+    return joined.withColumn(
+        "xattrs",
+        F.when(one, F.transform(hit, lambda x: entry(x, x["value"]))).when(
+            every, F.transform(listed, lambda x: entry(x, x["_all"]))
+        ),
+    ).drop("_asks", "_xattrs")
+
+
+def _waits() -> Column:
+    """A change whose xattr is there in part: it waits for the rest."""
+    one = F.col("operation").isin(XATTR_ADD, XATTR_UPDATE)
+    return one & F.exists("xattrs", lambda x: ~x["complete"])
+
+
 def mutation_ops(
     mutations: DataFrame,
     inodes: DataFrame,
@@ -66,74 +108,63 @@ def mutation_ops(
     projects: DataFrame | None = None,
     datasets: DataFrame | None = None,
 ) -> DataFrame:
-    """Document operations of file mutations.
+    """Document operations of file mutations, in one pass over them.
 
-    Each kind of mutation reads only the tables it needs, so a lookup shuffles
-    only the rows that use it. Operations outside the domain give nothing.
-    Without `projects` and `datasets` the documents name no project or dataset.
+    A lookup's key says whether the change needs it, so others find nothing.
+    Operations outside the domain give nothing. Changes that wait for parts of
+    their xattr give nothing either; `incomplete_xattr_changes` has them, and a
+    stream offers them again with the next batch. Without `projects` and
+    `datasets` the documents name no project or dataset.
     """
     code, doc = F.col("operation"), F.col("inode_id")
     named = projects is not None and datasets is not None
 
-    direct = mutations.filter(code.isin(FS_DELETE, FS_CHANGE_DATASET, XATTR_DELETE))
-    direct_op = (
-        F.when(code == FS_DELETE, D.delete_doc(doc))
-        .when(code == FS_CHANGE_DATASET, D.op(D.UPSERT, doc, D.dataset_change()))
-        .otherwise(D.xattr_remove(doc, F.col("pk3")))
-    )
-    direct_type = F.when(code == FS_CHANGE_DATASET, "update").otherwise("delete")
-
-    read = with_owner_names(
-        with_current_inode(mutations.filter(needs_inode(code)), inodes), users, groups
-    )
+    read = needs_inode(code)
+    rows = with_current_inode(mutations, inodes, read)
+    rows = with_owner_names(rows, users, groups)
     if named:
-        resolved = resolve_datasets(mutations.select("dataset_id"), inodes, projects, datasets)
-        owner = sized(resolved.select("dataset_id", "project_id"))
-        read = lookup(read, owner, ["dataset_id"])
+        asked = mutations.filter(read).select("dataset_id")
+        owner = resolve_datasets(asked, inodes, projects, datasets)
+        owner = materialize(owner.select("dataset_id", "project_id"), "dataset-owners")
+        rows = lookup(rows, owner, ["dataset_id"])
         body = D.inode_upsert(F.col("dataset_id"), F.coalesce("project_id", F.lit(MISSING_ID)))
     else:
         body = D.inode_upsert(F.lit(MISSING_ID), F.lit(MISSING_ID))
-    read_op = F.when(F.col("inode_found"), D.op(D.UPSERT, doc, body)).otherwise(D.delete_doc(doc))
-    read_type = (
-        F.when(~F.col("inode_found"), "delete").when(code == 0, "add").otherwise("update")
-    )
-
-    single = with_current_xattr(
-        mutations.filter(code.isin(XATTR_ADD, XATTR_UPDATE)).withColumns(
-            {"xattr_namespace": namespace(F.col("pk2")), "xattr_name": F.col("pk3")}
-        ),
-        xattrs,
-    )
-    key, raw = F.col("xattr_name"), F.col("xattr_value")
-    put, remove = D.xattr_set(doc, key, raw), D.xattr_remove(doc, key)
-    single_ops = (
-        F.when(~F.col("xattr_found"), F.array(remove))
+    rows = with_named_xattrs(rows, xattrs).filter(~F.coalesce(_waits(), F.lit(False)))
+
+    found = F.col("inode_found")
+    first = F.get("xattrs", F.lit(0))
+    remove = D.xattr_remove(doc, F.col("pk3"))
+    put = D.xattr_set(doc, F.col("pk3"), first["value"])
+    single = (
+        F.when(first.isNull(), F.array(remove))
         .when(code == XATTR_UPDATE, F.array(remove, put))
         .otherwise(F.array(put))
     )
-    ready = F.coalesce(F.col("xattr_complete"), F.lit(True))
-
-    every = with_all_xattrs(mutations.filter(code == XATTR_ADD_ALL), xattrs)
-    none = F.col("xattr_no").isNull()
-    every_ops = F.array(F.when(none, D.xattr_clear(doc)).otherwise(put))
-
-    return (
-        _explode(direct, F.array(direct_op), direct_type)
-        .unionByName(_explode(read, F.array(read_op), read_type))
-        .unionByName(_explode(single.filter(ready), single_ops, F.lit("update")))
-        .unionByName(_explode(every, every_ops, F.lit("update")))
+    every = F.when(F.size("xattrs") == 0, F.array(D.xattr_clear(doc))).otherwise(
+        F.transform("xattrs", lambda x: D.xattr_set(doc, x["name"], x["value"]))
+    )
+    ops = (
+        F.when(code == FS_DELETE, F.array(D.delete_doc(doc)))
+        .when(code == FS_CHANGE_DATASET, F.array(D.op(D.UPSERT, doc, D.dataset_change())))
+        .when(code == XATTR_DELETE, F.array(remove))
+        .when(read & found, F.array(D.op(D.UPSERT, doc, body)))
+        .when(read, F.array(D.delete_doc(doc)))
+        .when(code.isin(XATTR_ADD, XATTR_UPDATE), single)
+        .when(code == XATTR_ADD_ALL, every)
+    )
+    kind = (
+        F.when(code.isin(FS_DELETE, XATTR_DELETE) | (read & ~found), "delete")
+        .when(code == 0, "add")
+        .otherwise("update")
     )
+    return _explode(rows.filter(ops.isNotNull()), ops, kind)
 
 
 def incomplete_xattr_changes(mutations: DataFrame, xattrs: DataFrame) -> DataFrame:
-    """Changes whose xattr is still missing parts; they stay in the log."""
-    single = with_current_xattr(
-        mutations.filter(F.col("operation").isin(XATTR_ADD, XATTR_UPDATE)).withColumns(
-            {"xattr_namespace": namespace(F.col("pk2")), "xattr_name": F.col("pk3")}
-        ),
-        xattrs,
-    )
-    return single.filter(~F.col("xattr_complete")).select(mutations.columns)
+    """Changes whose xattr is still missing parts: held for the next batch."""
+    asked = mutations.filter(F.col("operation").isin(XATTR_ADD, XATTR_UPDATE))
+    return with_named_xattrs(asked, xattrs).filter(_waits()).select(mutations.columns)
 
 
 def admin_ops(ops: DataFrame, datasets: DataFrame, projects: DataFrame) -> DataFrame:

@@ -30,14 +30,14 @@ def dataset_roots(projects: DataFrame, datasets: DataFrame, inodes: DataFrame) -
     return materialize(with_dataset_inode(datasets, dirs, inodes), "dataset-roots")
 
 
-def directory_roots(inodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """The dataset each directory lies in, for all depths.
+def resolved_directories(inodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The dataset each directory lies in, for all depths; null on a cycle.
 
     Only directories take part. Every directory points to an ancestor; in each
     round it adopts the dataset of the directory it points to, or else that
     directory's pointer, so the distance doubles and the number of rounds is
     the logarithm of the depth. Directories outside every dataset drop out;
-    directories on a cycle are dropped after log2(n) + 2 rounds.
+    those that still wait after log2(n) + 2 rounds lead to a cycle.
     """
     ids = roots.select(F.col("dataset_inode").alias("id")).distinct()
     dirs = inodes.filter(F.col("is_dir") & (F.col("partition_id") == F.col("parent_id"))).select(
@@ -62,16 +62,23 @@ def directory_roots(inodes: DataFrame, roots: DataFrame) -> DataFrame:
             "id", F.col("_up").alias("up"), F.col("_root").alias("root")
         )
         state = materialize(state.filter(F.col("root").isNotNull()).unionByName(moved), "dirs")
-    return state.filter(F.col("root").isNotNull()).select("id", "root")
+    return state.select("id", "root")
+
 
+def directory_roots(inodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The directories that lie in a dataset, with its inode."""
+    return resolved_directories(inodes, roots).filter(F.col("root").isNotNull())
 
-def descendants(inodes: DataFrame, roots: DataFrame) -> DataFrame:
+
+def descendants(inodes: DataFrame, roots: DataFrame, dirs: DataFrame | None = None) -> DataFrame:
     """All files and directories below the datasets, roots not included.
 
     One pass over the inode table: a row belongs to the dataset of the
-    directory it lies in.
+    directory it lies in. `dirs` names the resolved directories where they are
+    known already.
     """
-    homes = directory_roots(inodes, roots).select(
+    dirs = resolved_directories(inodes, roots) if dirs is None else dirs
+    homes = dirs.filter(F.col("root").isNotNull()).select(
         F.col("id").alias("parent_id"), F.col("root").alias("dataset_id")
     )
     owners = roots.groupBy(F.col("dataset_inode").alias("dataset_id")).agg(
@@ -169,7 +176,7 @@ def dataset_counts(below: DataFrame, roots: DataFrame) -> DataFrame:
     counts = below.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("inodes"))
     named = roots.select(
         F.col("dataset_inode").alias("dataset_id"), F.col("inode_name").alias("dataset_name")
-    )
+    ).distinct()
     return (
         lookup(named, counts, ["dataset_id"])
         .select("dataset_id", "dataset_name", F.coalesce("inodes", F.lit(0)).alias("inodes"))
@@ -180,48 +187,42 @@ def dataset_counts(below: DataFrame, roots: DataFrame) -> DataFrame:
 def totals(
     projects: DataFrame, datasets: DataFrame, inodes: DataFrame, xattrs: DataFrame
 ) -> DataFrame:
-    """One row of totals of a rebuild."""
+    """One row of totals of a rebuild.
+
+    A dataset counts once however many rows name its directory. The directories
+    and the inodes below the datasets are written once; each total is then a
+    conditional sum over one of the tables.
+    """
     dirs = with_project_inode(projects, inodes)
     all_roots = dataset_roots(projects, datasets, inodes)
     roots = all_roots.filter(F.col("dataset_inode").isNotNull())
-    below = descendants(inodes, roots)
-    marked = below.filter(has_xattrs(F.col("num_user_xattrs"), F.col("num_sys_xattrs")))
-    values = inode_xattrs(below, xattrs)
-    without = lookup(
-        marked.select(F.col("id").alias("inode_id")),
-        values.select("inode_id").distinct(),
-        ["inode_id"],
-        "left_anti",
-    )
+    resolved = resolved_directories(inodes, roots)
+    flags = has_xattrs(F.col("num_user_xattrs"), F.col("num_sys_xattrs"))
+    below = descendants(inodes, roots, resolved).select("id", "num_user_xattrs", "num_sys_xattrs")
+    below = materialize(below, "below")
+    values = inode_xattrs(below, xattrs).groupBy("inode_id").agg(F.count(F.lit(1)).alias("_n"))
+    marked = lookup(below.filter(flags).select(F.col("id").alias("inode_id")), values, ["inode_id"])
 
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.lit(name).alias("name"), F.lit(1).alias("n"))
+    def sums(df: DataFrame, **columns) -> DataFrame:
+        return df.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in columns.items()])
 
+    one = F.lit(1)
     parts = [
-        count(projects, "projects"),
-        count(dirs.filter(F.col("project_inode").isNull()), "missing_projects"),
-        count(roots, "datasets"),
-        count(all_roots.filter(F.col("dataset_inode").isNull()), "missing_datasets"),
-        count(below, "inodes"),
-        count(values, "xattrs"),
-        count(without, "missing_xattrs"),
-    ]
-    names = [
-        "projects",
-        "missing_projects",
-        "datasets",
-        "missing_datasets",
-        "inodes",
-        "xattrs",
-        "missing_xattrs",
+        sums(dirs, projects=F.count(one), missing_projects=F.count(F.when(F.col("project_inode").isNull(), 1))),
+        sums(
+            all_roots,
+            datasets=F.count_distinct("dataset_inode"),
+            missing_datasets=F.count(F.when(F.col("dataset_inode").isNull(), 1)),
+        ),
+        sums(below, inodes=F.count(one)),
+        sums(marked, xattrs=F.sum("_n"), missing_xattrs=F.count(F.when(F.col("_n").isNull(), 1))),
+        sums(resolved, cyclic_directories=F.count(F.when(F.col("root").isNull(), 1))),
     ]
+    # Five rows with one value in each column become one row.
     rows = parts[0]
     for part in parts[1:]:
-        rows = rows.unionByName(part)
-    # One partial count per task and name, then a single row.
-    return rows.agg(
-        *[F.count(F.when(F.col("name") == n, 1)).alias(n) for n in names]
-    ).withColumn(
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns]).withColumn(
         "documents",
         F.col("projects") - F.col("missing_projects") + F.col("datasets") + F.col("inodes"),
     )

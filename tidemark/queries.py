@@ -25,9 +25,9 @@ from tidemark.operators import (
     sink,
 )
 from tidemark.plans import cascade, mutations, provenance, rebuild
-from tidemark.session import shared_root
-from tidemark.sources import feeds
-from tidemark.streaming.pipeline import EpochBarrier, drain
+from tidemark.session import materialize, shared_root
+from tidemark.sources import feeds, schemas
+from tidemark.streaming.pipeline import EpochBarrier, Outputs, drain
 from tidemark.streaming.state_table import StateTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,52 @@ def feed_deletes(t: Tables) -> DataFrame:
     return feeds.subscribe(_change_feed(t), ["DELETE"], ["inode_id", "logical_time", "inode_name"], "pre")
 
 
+def _inserted(rows: DataFrame, log: str) -> DataFrame:
+    """Rows of a log, offered as inserts of a change feed and read from it again."""
+    names = schemas.struct(schemas.LOGS[log]).names
+    changes = rows.select(F.lit("INSERT").alias("op"), "commit_epoch", F.struct(*names).alias("post"))
+    renamed = {"timestamp": "changed_ms", "user": "user_name", "name": "app_name"}
+    return feeds.log_rows(changes, log).withColumnsRenamed(renamed)
+
+
+@query
+def feed_rows_mutations(t: Tables) -> DataFrame:
+    """Every column of the file-mutation log."""
+    return _inserted(t.mutations, "hdfs_metadata_log")
+
+
+@query
+def feed_rows_admin(t: Tables) -> DataFrame:
+    """S3: every column of the admin log."""
+    return _inserted(t.admin_log.withColumn("project_id", F.col("op_id")), "ops_log")
+
+
+@query
+def feed_rows_provenance(t: Tables) -> DataFrame:
+    """Every column of the file-provenance log."""
+    return _inserted(t.provenance, "hdfs_file_provenance_log")
+
+
+@query
+def feed_rows_apps(t: Tables) -> DataFrame:
+    """Every column of the application log."""
+    return _inserted(t.app_log, "yarn_app_provenance_log")
+
+
+@query
+def feed_deleted_rows(t: Tables) -> DataFrame:
+    """The pre-images of deleted rows of a catalog table, here of parts."""
+    image = F.struct(
+        F.col("p_partkey").alias("PART_ID"),
+        (F.col("p_partkey") * 2).alias("SD_ID"),
+        F.col("p_size").cast("long").alias("TBL_ID"),
+        F.col("p_name").alias("PART_NAME"),
+    )
+    kind = F.when(F.col("p_size") > 25, "DELETE").otherwise("UPDATE")
+    changes = t.part.select(kind.alias("op"), F.col("p_partkey").alias("commit_epoch"), image.alias("pre"))
+    return feeds.deleted_rows(changes, "PARTITIONS")
+
+
 @query
 def scan_normalised(t: Tables) -> DataFrame:
     """S7, S12."""
@@ -211,6 +257,21 @@ def lookup_exists(t: Tables) -> DataFrame:
     )
 
 
+@query
+def lookup_skewed(t: Tables) -> DataFrame:
+    """Lines joined with a side of which one key meets a third of them.
+
+    The heavy keys are found once in the written lines and salted.
+    """
+    flag = F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_suppkey"))
+    lines = materialize(t.lineitem.select("l_orderkey", "l_linenumber", flag.alias("s_suppkey")), "lines")
+    suppliers = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
+    hot = joins.hot_keys(lines, ["s_suppkey"])
+    return joins.salted_join(lines, suppliers, ["s_suppkey"], hot).select(
+        "l_orderkey", "l_linenumber", "s_suppkey", "s_name", "s_nationkey"
+    )
+
+
 @query
 def lookup_delete(t: Tables) -> DataFrame:
     """Lines of urgent orders deleted; rows left and rows gone."""
@@ -273,6 +334,15 @@ def xattr_lookup(t: Tables) -> DataFrame:
     )
 
 
+@query
+def xattr_incomplete(t: Tables) -> DataFrame:
+    """Changes that wait for parts of their xattr."""
+    held = mutations.incomplete_xattr_changes(t.mutations, t.xattrs)
+    return held.select(
+        keys.key_string(keys.MUTATION_KEY).alias("log_pk"), "logical_time", F.col("pk3").alias("xattr_name")
+    )
+
+
 @query
 def xattr_lookup_all(t: Tables) -> DataFrame:
     """J7."""
@@ -377,7 +447,8 @@ def admin_codes(t: Tables) -> DataFrame:
     return t.admin_log.select(
         "id",
         codes.admin_target_name(F.col("op_on")).alias("target"),
-        codes.admin_op_name(F.col("op_id")).alias("op_name"),
+        codes.admin_op_name(F.col("op_type")).alias("op_name"),
+        codes.admin_op_name(F.col("op_id")).alias("unknown_name"),
     )
 
 
@@ -565,7 +636,10 @@ def fold_map(t: Tables) -> DataFrame:
 @query
 def fold_provenance(t: Tables) -> DataFrame:
     """X1 over D10-D17."""
-    docs = fold.fold(_provenance_ops(t), docops.PROVENANCE_GROUPS)
+    return _provenance_columns(fold.fold(_provenance_ops(t), docops.PROVENANCE_GROUPS))
+
+
+def _provenance_columns(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("index").alias("index_name"),
         "doc_id",
@@ -598,8 +672,19 @@ def fold_provenance_map(t: Tables) -> DataFrame:
 @query
 def fold_apps(t: Tables) -> DataFrame:
     """X1 over D18."""
-    docs = fold.fold(docops.app_states(t.app_log), docops.APP_GROUPS)
-    return docs.select("doc_id", "app_id", "app_state", F.col("timestamp").alias("state_time"), "app_name")
+    return _app_columns(fold.fold(docops.app_states(t.app_log), docops.APP_GROUPS))
+
+
+def _app_columns(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        "doc_id",
+        "app_id",
+        "app_state",
+        F.col("timestamp").alias("state_time"),
+        "app_name",
+        F.col("app_user").alias("app_owner"),
+        F.col("readable_timestamp").alias("readable"),
+    )
 
 
 @query
@@ -794,7 +879,10 @@ def retention_log(t: Tables) -> DataFrame:
 @query
 def retention_buffer(t: Tables) -> DataFrame:
     """K2, K4."""
-    left = retention.remaining_buffer(t.xattr_buffer, _acked(t))
+    return _buffer_columns(retention.remaining_buffer(t.xattr_buffer, _acked(t)))
+
+
+def _buffer_columns(left: DataFrame) -> DataFrame:
     return left.select(
         "inode_id", "name", "inode_logical_time", F.col("index").alias("part_no"), "value"
     )
@@ -857,33 +945,107 @@ def metrics_text(t: Tables) -> DataFrame:
 # --- streaming -------------------------------------------------------------
 
 
+def _stream(t: Tables, feed: DataFrame, order: list[str], files: int = 4) -> tuple[DataFrame, str]:
+    """A feed written in commit order and read as a stream of two files a batch."""
+    folder = f"{shared_root(t.spark)}/stream-{uuid4().hex}"
+    feed.repartitionByRange(files, *order).write.parquet(f"{folder}/feed")
+    source = t.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2)
+    return source.parquet(f"{folder}/feed"), folder
+
+
+def _bare(ops: DataFrame) -> DataFrame:
+    return ops.drop("log_type", "log_pk", "event_type", "asset_type")
+
+
 @query
 def stream_replay(t: Tables) -> DataFrame:
     """The feed applied as a stream of micro-batches.
 
-    Same result as `fold_documents` without the admin log.
+    Same result as `fold_documents` without the admin log. Changes whose xattr
+    is incomplete are held and offered again with every batch.
     """
-    spark = t.spark
-    feed = t.mutations
-    folder = f"{shared_root(spark)}/stream-{uuid4().hex}"
-    feed.repartitionByRange(4, "commit_epoch", "inode_id").write.parquet(f"{folder}/feed")
-    stream = (
-        spark.readStream.schema(feed.schema)
-        .option("maxFilesPerTrigger", 2)
-        .parquet(f"{folder}/feed")
-    )
+    stream, folder = _stream(t, t.mutations, ["commit_epoch", "inode_id"])
 
     def to_ops(rows: DataFrame) -> DataFrame:
-        ops = mutations.mutation_ops(
-            rows, t.inodes, t.users, t.groups, t.xattrs, t.projects, t.datasets
+        return _bare(
+            mutations.mutation_ops(rows, t.inodes, t.users, t.groups, t.xattrs, t.projects, t.datasets)
         )
-        return ops.drop("log_type", "log_pk", "event_type", "asset_type")
 
     docs = drain(
         stream,
         to_ops,
-        StateTable(spark, f"{folder}/state", docops.SEARCH_GROUPS),
+        StateTable(t.spark, f"{folder}/state", docops.SEARCH_GROUPS),
         f"{folder}/checkpoint",
-        EpochBarrier(spark, f"{folder}/open"),
+        EpochBarrier(t.spark, f"{folder}/open", lambda rows: mutations.incomplete_xattr_changes(rows, t.xattrs)),
     )
     return docs.select("doc_id", *_flat())
+
+
+@query
+def stream_admin(t: Tables) -> DataFrame:
+    """The admin log as a stream; the documents of a batch fold."""
+    stream, folder = _stream(t, t.admin_log, ["commit_epoch", "id"])
+    docs = drain(
+        stream,
+        lambda rows: _bare(mutations.admin_ops(rows, t.datasets, t.projects)),
+        StateTable(t.spark, f"{folder}/state", docops.SEARCH_GROUPS),
+        f"{folder}/checkpoint",
+        EpochBarrier(t.spark, f"{folder}/open"),
+    )
+    return docs.select("doc_id", *_flat())
+
+
+@query
+def stream_apps(t: Tables) -> DataFrame:
+    """The application log as a stream; equal to `fold_apps`."""
+    stream, folder = _stream(t, t.app_log, ["commit_epoch", "id"])
+    docs = drain(
+        stream,
+        docops.app_states,
+        StateTable(t.spark, f"{folder}/state", docops.APP_GROUPS),
+        f"{folder}/checkpoint",
+        EpochBarrier(t.spark, f"{folder}/open"),
+    )
+    return _app_columns(docs)
+
+
+def _provenance_stream(t: Tables) -> tuple[DataFrame, Outputs]:
+    """The provenance log as a stream: its documents, quarantine and acknowledgements.
+
+    Which inodes count as viewable is asked per batch, as live operation does,
+    so the documents can differ from those of one fold over the whole log.
+    """
+    stream, folder = _stream(t, t.provenance, ["commit_epoch", "dataset_i_id", "io_logical_time"])
+
+    def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return sink.split_problems(provenance.enriched(rows, t.provenance_inodes, t.xattr_buffer))
+
+    outputs = Outputs(
+        f"{folder}/out",
+        problems=lambda rows: parted(rows)[1].select("io_logical_time", "inode_operation", "problem"),
+        acked=lambda rows: provenance.acknowledged(parted(rows)[0]),
+    )
+    docs = drain(
+        stream,
+        lambda rows: _bare(provenance.provenance_ops(parted(rows)[0])),
+        StateTable(t.spark, f"{folder}/state", docops.PROVENANCE_GROUPS),
+        f"{folder}/checkpoint",
+        EpochBarrier(t.spark, f"{folder}/open"),
+        outputs,
+    )
+    return docs, outputs
+
+
+@query
+def stream_quarantine(t: Tables) -> DataFrame:
+    """X5 on a stream: the rows each batch put aside; equal to `quarantine`."""
+    _, outputs = _provenance_stream(t)
+    return outputs.read(t.spark, "problems")
+
+
+@query
+def stream_retention(t: Tables) -> DataFrame:
+    """X4, K2-K4 after a stream: the buffer without the companions of applied changes."""
+    _, outputs = _provenance_stream(t)
+    left = retention.remaining_buffer(t.xattr_buffer, outputs.read(t.spark, "acked"))
+    return _buffer_columns(left)

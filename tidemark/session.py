@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from functools import cache
@@ -27,7 +28,7 @@ def build_session(cores: int | str = "*", app: str = "tidemark") -> SparkSession
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "20g")
+        .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", partitions)
     )
     for key, value in SETTINGS.items():

@@ -1,105 +1,140 @@
-"""Change feeds applied as streams."""
+"""Change feeds applied as streams."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import union_feeds
 from tidemark.session import configure
-from tidemark.streaming.state_table import StateTable
+from tidemark.streaming.state_table import Files, StateTable
 
 OPEN = re.compile(r"open-(\d+)$")
+Rows = Callable[[DataFrame], DataFrame]
 
 
 class EpochBarrier:
     """O1 on a stream: releases an epoch once a later one has been seen.
 
     The rows of the newest epoch are written after every batch and join the
-    next one. What batch n held back depends only on batch n and the rows held
-    before it, so a repeated batch holds and releases the same rows.
+    next one, and so do the rows that `hold` picks, which cannot be applied yet.
+    What batch n keeps back depends only on batch n and the rows kept before
+    it, so a repeated batch keeps and releases the same rows. The folders of
+    batches that cannot be repeated are removed.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, hold: Rows | None = None):
+        self.spark, self.path, self.hold = spark, path.rstrip("/"), hold
+        self.files = Files(spark, self.path)
 
-    def _held_before(self, batch_id: int) -> str | None:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
+    def _kept(self) -> list[int]:
+        found = [OPEN.search(n) for n in self.files.names()]
+        return sorted(int(m[1]) for m in found if m)
+
+    def _before(self, batch_id: int, schema) -> DataFrame | None:
+        earlier = [n for n in self._kept() if n < batch_id]
+        if not earlier:
             return None
-        names = [OPEN.search(s.getPath().getName()) for s in fs.listStatus(folder)]
-        earlier = [int(m[1]) for m in names if m and int(m[1]) < batch_id]
-        return f"{self.path}/open-{max(earlier)}" if earlier else None
+        return self.spark.read.schema(schema).parquet(f"{self.path}/open-{earlier[-1]}")
 
     def release(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        held = self._held_before(batch_id)
-        rows = batch
-        if held:
-            rows = union_feeds(batch, self.spark.read.schema(batch.schema).parquet(held))
+        before = self._before(batch_id, batch.schema)
+        rows = batch if before is None else union_feeds(batch, before)
         newest = rows.agg(F.max("commit_epoch")).scalar()
-        open_path = f"{self.path}/open-{batch_id}"
-        rows.filter(F.col("commit_epoch") == newest).write.mode("overwrite").parquet(open_path)
-        return rows.filter(F.col("commit_epoch") < newest)
+        closed = rows.filter(F.col("commit_epoch") < newest)
+        kept = rows.filter(F.col("commit_epoch") == newest)
+        if self.hold:
+            kept = union_feeds(kept, self.hold(closed))
+        kept.write.mode("overwrite").parquet(f"{self.path}/open-{batch_id}")
+        for old in [n for n in self._kept() if n < batch_id][:-1]:
+            self.files.remove(f"open-{old}")
+        return closed
 
     def remaining(self, schema) -> DataFrame | None:
-        """Rows still held back, for a feed that has ended."""
-        held = self._held_before(1 << 62)
-        return self.spark.read.schema(schema).parquet(held) if held else None
+        """Rows still kept back, for a feed that has ended."""
+        return self._before(1 << 62, schema)
+
+
+@dataclass
+class Outputs:
+    """What a stream writes besides documents, a folder per batch.
+
+    `problems` picks the rows that cannot be applied (X5); `acked` the keys of
+    those that were, after which the log and its companions are pruned (X4).
+    """
+
+    path: str
+    problems: Rows | None = None
+    acked: Rows | None = None
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        for name in ("problems", "acked"):
+            pick = getattr(self, name)
+            if pick is not None:
+                pick(rows).write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch_id}")
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/{name}").drop("batch")
 
 
 def apply_stream(
     feed: DataFrame,
-    to_ops: Callable[[DataFrame], DataFrame],
+    to_ops: Rows,
     store: StateTable,
     checkpoint: str,
     barrier: EpochBarrier | None = None,
-    compact_every: int = 8,
+    outputs: Outputs | None = None,
+    trigger: dict | None = None,
 ):
     """Start a query that applies a feed to a state table.
 
     `to_ops` is the same function the batch job uses. The checkpoint is the
-    acknowledgement (X4): a batch counts as applied once its folder is
-    complete, and is applied again, with the same result, otherwise.
+    acknowledgement (X4): a batch counts as applied once the state table names
+    it, and is applied again, with the same result, otherwise. `trigger` is
+    that of the stream, by default all that is available; the source's own
+    rate limit bounds a batch (O10).
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         # Streams run in a session of their own, with adaptive execution off.
         configure(batch.sparkSession)
-        rows = (barrier.release(batch, batch_id) if barrier else batch).persist()
+        batch = batch.persist()
         try:
+            rows = barrier.release(batch, batch_id) if barrier else batch
             store.apply(to_ops(rows), batch_id)
+            if outputs:
+                outputs.write(rows, batch_id)
         finally:
-            rows.unpersist()
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            store.compact(compact_every)
+            batch.unpersist()
 
     return (
         feed.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
 def drain(
     feed: DataFrame,
-    to_ops: Callable[[DataFrame], DataFrame],
+    to_ops: Rows,
     store: StateTable,
     checkpoint: str,
     barrier: EpochBarrier | None = None,
+    outputs: Outputs | None = None,
 ) -> DataFrame:
     """Apply everything available, close the last epoch, return the documents."""
-    query = apply_stream(feed, to_ops, store, checkpoint, barrier)
+    query = apply_stream(feed, to_ops, store, checkpoint, barrier, outputs)
     query.awaitTermination()
     if barrier:
         rest = barrier.remaining(feed.schema)
         if rest is not None:
-            last = max((end for _, end, _ in store.folders()), default=-1)
-            store.apply(to_ops(rest), last + 1)
+            batch_id = store.last_batch() + 1
+            store.apply(to_ops(rest), batch_id)
+            if outputs:
+                outputs.write(rest, batch_id)
     return store.documents()

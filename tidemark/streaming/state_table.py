@@ -1,119 +1,153 @@
-"""Document state kept as folders of partial states, merged on read.
-
-Applying a micro-batch writes only its own folded operations, so the cost of a
-batch does not grow with the number of documents. A folder is named after the
-batches it covers, `state-<first>-<last>`, and holds document rows and entry
-rows apart; compaction writes one folder for a run of batches. Merging partial
-states is idempotent, so a batch that is applied again replaces its folder and
-nothing else.
+"""Document state in hash partitions; a batch rewrites the ones it touches.
+
+A document belongs to one of a fixed number of partitions by a hash of its key.
+Applying a micro-batch folds its operations, merges them with the partitions
+they fall into and writes these anew, in a folder of the batch. A small file per
+batch names the folder that holds each partition; it is written last, so a batch
+counts as applied once the file is there. Folders that neither it nor the file
+before it names are removed.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import fold
 
-NAME = re.compile(r"state-(\d+)-(\d+)$")
-Folder = tuple[int, int, str]
+PARTS = {"docs": fold.merge_docs, "entries": fold.merge_entries}
+MARK = re.compile(r"batch-(\d+)\.json$")
+BUCKETS = 32
 
 
-class StateTable:
-    def __init__(self, spark: SparkSession, path: str, groups: list[list[str]] | None = None):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.groups = groups
-
-    def _filesystem(self):
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def folders(self) -> list[Folder]:
-        """Completely written folders as (first batch, last batch, path)."""
-        folder, fs = self._filesystem()
-        if not fs.exists(folder):
+class Files:
+    """The few file operations of a folder, on whatever file system it lies."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark._jvm
+        self.root = self.jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(self.root, name)
+
+    def names(self) -> list[str]:
+        if not self.fs.exists(self.root):
             return []
-        jvm = self.spark._jvm
-        found = []
-        for status in fs.listStatus(folder):
-            name = NAME.search(status.getPath().getName())
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name and fs.exists(done):
-                found.append((int(name[1]), int(name[2]), status.getPath().toString()))
-        return found
-
-    def current(self) -> list[Folder]:
-        """The folders that together hold every batch once, widest first."""
-        cover, last = [], -1
-        for first, end, path in sorted(self.folders(), key=lambda f: (f[0], -f[1])):
-            if first > last:
-                cover.append((first, end, path))
-                last = end
-        return cover
-
-    def _write(self, docs: DataFrame, entries: DataFrame, first: int, last: int) -> None:
-        rows = docs.withColumn("part", F.lit("docs")).unionByName(
-            entries.withColumn("part", F.lit("entries")), allowMissingColumns=True
-        )
-        rows.write.mode("overwrite").partitionBy("part").parquet(
-            f"{self.path}/state-{first}-{last}"
-        )
-
-    def _read(self, cover: list[Folder], part: str) -> DataFrame:
-        if not cover:
-            raise ValueError(f"no state in {self.path}")
-        schema = self.spark.read.parquet(cover[0][2]).schema
-        rows = None
-        for _, _, path in cover:
-            one = self.spark.read.schema(schema).parquet(path).filter(F.col("part") == part)
-            rows = one if rows is None else rows.unionByName(one)
-        wanted = [
-            c
-            for c in schema.names
-            if c in fold.ENTRY_KEY[:2] or (c in ("entry_key", "entry")) == (part == "entries")
-        ]
-        return rows.select(*[c for c in wanted if c != "part"])
-
-    def doc_state(self, cover: list[Folder] | None = None) -> DataFrame:
-        return fold.merge_docs(self._read(self.current() if cover is None else cover, "docs"))
-
-    def entry_state(self, cover: list[Folder] | None = None) -> DataFrame:
-        return fold.merge_entries(
-            self._read(self.current() if cover is None else cover, "entries")
-        )
+        return [s.getPath().getName() for s in self.fs.listStatus(self.root)]
+
+    def write(self, name: str, text: str) -> None:
+        out = self.fs.create(self._at(name), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self._at(name))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self._at(name), True)
+
+
+class StateTable:
+    """`buckets` bounds what a batch rewrites: take so many that one fits a task."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        groups: list[list[str]] | None = None,
+        buckets: int = BUCKETS,
+    ):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.groups, self.buckets = groups, buckets
+        self.files = Files(spark, self.path)
+
+    def batches(self) -> list[int]:
+        """Applied batches whose file is still there, oldest first."""
+        found = [MARK.search(n) for n in self.files.names()]
+        return sorted(int(m[1]) for m in found if m)
+
+    def last_batch(self) -> int:
+        return max(self.batches(), default=-1)
+
+    def _layout(self, before: int | None = None) -> dict:
+        """Of each part its schema, and the folder of each bucket."""
+        done = [b for b in self.batches() if before is None or b < before]
+        return json.loads(self.files.read(f"batch-{done[-1]}.json")) if done else {}
+
+    def _read(self, part: dict, buckets: list[str] | None = None) -> DataFrame | None:
+        wanted = part["buckets"] if buckets is None else {b: part["buckets"][b] for b in buckets if b in part["buckets"]}
+        if not wanted:
+            return None
+        paths = [f"{self.path}/{folder}/bucket={b}" for b, folder in wanted.items()]
+        return self.spark.read.schema(StructType.fromJson(part["schema"])).parquet(*paths)
 
     def apply(self, ops: DataFrame, batch_id: int) -> None:
-        """X1, X2 for one micro-batch: write its folded operations."""
+        """X1, X2 for one micro-batch; the same batch again changes nothing."""
+        layout = self._layout(before=batch_id)
         ops = ops.persist()
         try:
-            self._write(fold.doc_state(ops, self.groups), fold.entry_state(ops), batch_id, batch_id)
+            parts = {"docs": fold.doc_state(ops, self.groups), "entries": fold.entry_state(ops)}
+            out = {name: self._merge(name, new, layout.get(name), batch_id) for name, new in parts.items()}
         finally:
             ops.unpersist()
+        self.files.write(f"batch-{batch_id}.json", json.dumps(out))
+        self._clean(batch_id)
+
+    def _merge(self, name: str, new: DataFrame, old: dict | None, batch_id: int) -> dict:
+        merge: Callable[[DataFrame], DataFrame] = PARTS[name]
+        bucket = F.pmod(F.xxhash64(*fold.DOC_KEY), F.lit(self.buckets)).cast("int")
+        rows = new.withColumn("bucket", bucket).persist()
+        try:
+            touched = sorted(str(r[0]) for r in rows.select("bucket").distinct().collect())
+            kept = old["buckets"] if old else {}
+            schema = new.schema
+            if not touched:
+                return old or {"schema": schema.jsonValue(), "buckets": {}}
+            both = rows.drop("bucket")
+            before = self._read(old, touched) if old else None
+            if before is not None:
+                both = merge(both.unionByName(before))
+            folder = f"{name}-{batch_id}"
+            placed = both.withColumn("bucket", bucket).repartition("bucket")
+            placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{folder}")
+            return {"schema": schema.jsonValue(), "buckets": kept | {b: folder for b in touched}}
+        finally:
+            rows.unpersist()
+
+    def _clean(self, batch_id: int) -> None:
+        """Keep what this batch and the one before need: that may run again."""
+        marks = [b for b in self.batches() if b <= batch_id]
+        needed = set()
+        for mark in marks[-2:]:
+            layout = json.loads(self.files.read(f"batch-{mark}.json"))
+            needed |= {f for part in layout.values() for f in part["buckets"].values()}
+            needed.add(f"batch-{mark}.json")
+        for name in self.files.names():
+            number = re.search(r"-(\d+)(\.json)?$", name)
+            if number and int(number[1]) <= batch_id and name not in needed:
+                self.files.remove(name)
+
+    def _state(self, name: str) -> DataFrame:
+        part = self._layout().get(name)
+        if part is None:
+            raise ValueError(f"no state in {self.path}")
+        rows = self._read(part)
+        return self.spark.createDataFrame([], StructType.fromJson(part["schema"])) if rows is None else rows
 
     def documents(self) -> DataFrame:
         """The live documents after every applied batch."""
-        return fold.documents(self.doc_state())
+        return fold.documents(self._state("docs"))
 
     def entries(self) -> DataFrame:
         """Their map entries."""
-        return fold.entries(self.entry_state())
-
-    def compact(self, fan_in: int = 8) -> None:
-        """Merge the newest run of folders of similar width into one.
-
-        A folder joins the run while it is at most `fan_in` times as wide as
-        the next newer one, so a batch is rewritten a logarithmic number of
-        times over the life of the table.
-        """
-        run: list[Folder] = []
-        for folder in reversed(self.current()):
-            width = folder[1] - folder[0] + 1
-            if run and width > fan_in * (run[0][1] - run[0][0] + 1):
-                break
-            run.insert(0, folder)
-        if len(run) >= fan_in:
-            self._write(self.doc_state(run), self.entry_state(run), run[0][0], run[-1][1])
+        return fold.entries(self._state("entries"))
