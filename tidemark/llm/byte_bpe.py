@@ -29,7 +29,7 @@ from tidemark.llm.common import arrow_map
 
 RANKS = "byte_bpe_50k.tiktoken"
 # Places of a task's table of slices, as a power of two, and the ids it may hold.
-TABLE_BITS, POOL = 22, 1 << 24
+TABLE_BITS, POOL = 21, 1 << 23
 # Texts are worked on in groups of about so many code points.
 GROUP = 1 << 16
 

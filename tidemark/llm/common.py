@@ -48,15 +48,28 @@ def _shipped(application: str, add: Callable[[str], None]) -> None:
     add(_archive())
 
 
+# Rows of an Arrow batch: whole texts, several copies of which a worker holds.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import the library: Spark sends it to every executor."""
     context = spark.sparkContext
     _shipped(context.applicationId, context.addPyFile)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def arrow_map(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
-    """`mapInArrow` with a function of this library."""
+    """`mapInArrow` with a function of this library, in batches of whole texts."""
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        # Workers live on; what the task needed goes back to the machine.
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)

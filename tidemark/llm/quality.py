@@ -10,7 +10,6 @@ not seen calibrates the probability.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import LOWER, SPACE, groups, mix, range_hashes
-from tidemark.llm.common import arrow_map
+from tidemark.llm.common import arrow_map, packed, ship
 from tidemark.session import materialize
 
 ROWS, DIM, UNITS, WINDOW = 4096, 32, 2, 2
@@ -313,30 +312,26 @@ def scored(
     """
     vectors = word_vectors(df, text)
     net = train(df, labels, vectors, key, text, sample)
-    names = carry if carry is not None else []
-    given = df.select(
+    ship(df.sparkSession)
+
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(net.scores(features(texts.to_pylist(), vectors)), pa.float64())
+
+    # Called once a row: a filter on the score must not be moved below it. Only
+    # the text goes to Python, the other columns wait in the executor.
+    once = F.arrow_udf(score, "double").asNondeterministic()
+    rows = df.select(
         F.col(key).alias("_key"),
         F.coalesce(held_out(key), F.lit(False)).alias("_held"),
-        F.col(text).cast("string").alias("_text"),
-        *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)],
+        once(F.col(text).cast("string")).alias("_score"),
+        *([packed(df, carry).alias("_doc")] if carry is not None else []),
     )
-    out_schema = given.drop("_text").withColumn("_score", F.lit(0.0)).schema
-
-    def work(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            x = features(batch.column(2).to_pylist(), vectors)
-            columns = [batch.column(i) for i in range(batch.num_columns) if i != 2]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(net.scores(x), pa.float64())], names=out_schema.names
-            )
-
-    rows = arrow_map(given, work, out_schema)
     return rows.select(
         F.col("_key").alias(key),
         F.col("_held").alias("held_out"),
         F.col("_score").alias("score"),
         (F.col("_score") >= threshold).cast("int").alias("predicted"),
-        *([F.struct(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)]).alias("_doc")] if carry is not None else []),
+        *(["_doc"] if carry is not None else []),
     )
 
 
