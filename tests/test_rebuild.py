@@ -74,6 +74,7 @@ def test_rebuilt_documents_and_totals(spark):
         "inodes": 5,
         "xattrs": 1,
         "missing_xattrs": 1,
+        "cyclic_directories": 2,
         "documents": 8,
     }
 
