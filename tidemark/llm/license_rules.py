@@ -85,7 +85,7 @@ LICENSES = [
     ("sspl-1.0", "sspl 1 0", "server side public", f"server side public {LIC}"),
     ("elastic-2.0", "elastic 2 0", "elastic licen", f"elastic {LIC}(?: {VER}2 0)?"),
     ("unlicense", "unlicense", "unlicen", f"(?:the )?un{LIC}"),
-    ("wtfpl", "wtfpl", "what you want to public", f"do what the fuck you want to public {LIC}"),
+    ("wtfpl", "wtfpl", "you want to public", f"do what the fuck you want to public {LIC}"),
     ("zlib", "zlib", "zlib", f"zlib (?:libpng )?{LIC}"),
     ("libpng", "libpng", "libpng", f"libpng {LIC}"),
     ("curl", "curl", "curl licen", f"curl {LIC}"),
@@ -136,7 +136,7 @@ LICENSES = [
     ("cc-by-nc-sa", "", "noncommercial sharealike", "creative commons attribution noncommercial sharealike"),
     ("cc-by-nc", "", "attribution noncommercial", "creative commons attribution noncommercial"),
     ("cc-by-nd", "", "attribution noderiv", "creative commons attribution noderiv(?:ative)?s?"),
-    ("cc-by-sa", "", "attribution sharealike", "creative commons attribution share ?alike"),
+    ("cc-by-sa", "", "attribution share", "creative commons attribution share ?alike"),
     ("cc-by", "", "creative commons attribution", f"creative commons attribution(?: [1234] [05])?(?: international)?(?: {LIC})?"),
     ("cc", "", "creative commons", f"creative commons {LIC}"),
 ]
