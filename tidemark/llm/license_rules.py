@@ -29,20 +29,25 @@ class Rule(NamedTuple):
 
 
 LIC = "licen[cs]e"
-VER = "(?:version |v )?"
+VER = "(?:version |v ?)?"
+# What notices of the GNU licenses put between the name and the version.
+ISSUED = "(?:as published by the free software foundation (?:either )?)?"
+# Optional words after a Creative Commons name without its version.
+REST = f"(?: international| unported| generic)?(?: public)?(?: {LIC})?"
+NC, ND, SA = "non ?commercial", "no ?deriv(?:ative)?s?(?: works)?", "share ?alike"
 # Label, identifier as words, keyword and pattern of the name. A more exact
 # version stands before the family it belongs to.
 LICENSES = [
-    ("agpl-3.0", "agpl 3 0", "affero general public", f"(?:gnu )?affero general public {LIC} {VER}3(?: 0)?"),
-    ("agpl-1.0", "agpl 1 0", "affero general public", f"(?:gnu )?affero general public {LIC} {VER}1(?: 0)?"),
+    ("agpl-3.0", "agpl 3 0", "affero general public", f"(?:(?:gnu )?affero general public {LIC} {ISSUED}{VER}3(?: 0)?|version 3(?: 0)? of the (?:gnu )?affero general public {LIC})"),
+    ("agpl-1.0", "agpl 1 0", "affero general public", f"(?:(?:gnu )?affero general public {LIC} {ISSUED}{VER}1(?: 0)?|version 1(?: 0)? of the (?:gnu )?affero general public {LIC})"),
     ("agpl", "agpl", "affero general public", f"(?:gnu )?affero general public {LIC}"),
-    ("lgpl-3.0", "lgpl 3 0", "lesser general public", f"(?:gnu )?lesser general public {LIC} {VER}3(?: 0)?"),
-    ("lgpl-2.1", "lgpl 2 1", "lesser general public", f"(?:gnu )?lesser general public {LIC} {VER}2 1"),
-    ("lgpl-2.0", "lgpl 2 0", "library general public", f"(?:gnu )?library general public {LIC} {VER}2(?: 0)?"),
+    ("lgpl-3.0", "lgpl 3 0", "lesser general public", f"(?:(?:gnu )?lesser general public {LIC} {ISSUED}{VER}3(?: 0)?|version 3(?: 0)? of the (?:gnu )?lesser general public {LIC})"),
+    ("lgpl-2.1", "lgpl 2 1", "lesser general public", f"(?:(?:gnu )?lesser general public {LIC} {ISSUED}{VER}2 1|version 2 1 of the (?:gnu )?lesser general public {LIC})"),
+    ("lgpl-2.0", "lgpl 2 0", "library general public", f"(?:(?:gnu )?library general public {LIC} {ISSUED}{VER}2(?: 0)?|version 2(?: 0)? of the (?:gnu )?library general public {LIC})"),
     ("lgpl", "lgpl", "general public", f"(?:gnu )?(?:lesser|library) general public {LIC}"),
-    ("gpl-3.0", "gpl 3 0", "general public", f"gnu general public {LIC} {VER}3(?: 0)?"),
-    ("gpl-2.0", "gpl 2 0", "general public", f"gnu general public {LIC} {VER}2(?: 0)?"),
-    ("gpl-1.0", "gpl 1 0", "general public", f"gnu general public {LIC} {VER}1(?: 0)?"),
+    ("gpl-3.0", "gpl 3 0", "general public", f"(?:gnu general public {LIC} {ISSUED}{VER}3(?: 0)?|version 3(?: 0)? of the gnu general public {LIC})"),
+    ("gpl-2.0", "gpl 2 0", "general public", f"(?:gnu general public {LIC} {ISSUED}{VER}2(?: 0)?|version 2(?: 0)? of the gnu general public {LIC})"),
+    ("gpl-1.0", "gpl 1 0", "general public", f"(?:gnu general public {LIC} {ISSUED}{VER}1(?: 0)?|version 1(?: 0)? of the gnu general public {LIC})"),
     ("gpl", "gpl", "general public", f"gnu general public {LIC}"),
     ("gfdl-1.3", "gfdl 1 3", "free documentation", f"gnu free documentation {LIC} {VER}1 3"),
     ("gfdl-1.2", "gfdl 1 2", "free documentation", f"gnu free documentation {LIC} {VER}1 2"),
@@ -56,11 +61,11 @@ LICENSES = [
     ("x11", "x11", "x11 licen", f"x11 {LIC}"),
     ("expat", "expat", "expat licen", f"expat {LIC}"),
     ("isc", "isc", "isc licen", f"isc {LIC}"),
-    ("bsd-4-clause", "bsd 4 clause", "bsd", f"(?:original|4 clause|four clause) bsd {LIC}"),
-    ("bsd-3-clause", "bsd 3 clause", "bsd", f"(?:new|revised|modified|3 clause|three clause) bsd {LIC}"),
-    ("bsd-2-clause", "bsd 2 clause", "bsd", f"(?:simplified|freebsd|2 clause|two clause) bsd {LIC}"),
-    ("bsd-1-clause", "bsd 1 clause", "bsd", f"(?:1 clause|one clause) bsd {LIC}"),
-    ("0bsd", "0bsd", "bsd", f"(?:zero clause|0 clause|free public) bsd {LIC}"),
+    ("bsd-4-clause", "bsd 4 clause", "bsd", f"(?:(?:original|4 clause|four clause) bsd|bsd (?:4|four) clause) {LIC}"),
+    ("bsd-3-clause", "bsd 3 clause", "bsd", f"(?:(?:new|revised|modified|3 clause|three clause) bsd|bsd (?:3|three) clause) {LIC}"),
+    ("bsd-2-clause", "bsd 2 clause", "bsd", f"(?:(?:simplified|freebsd|2 clause|two clause) bsd|bsd (?:2|two) clause) {LIC}"),
+    ("bsd-1-clause", "bsd 1 clause", "bsd", f"(?:(?:1 clause|one clause) bsd|bsd (?:1|one) clause) {LIC}"),
+    ("0bsd", "0bsd", "bsd", f"(?:(?:zero clause|0 clause|free public) bsd|bsd (?:0|zero) clause) {LIC}"),
     ("bsd", "bsd", "bsd", f"bsd (?:style )?{LIC}"),
     ("mpl-2.0", "mpl 2 0", "mozilla public", f"mozilla public {LIC} {VER}2(?: 0)?"),
     ("mpl-1.1", "mpl 1 1", "mozilla public", f"mozilla public {LIC} {VER}1 1"),
@@ -117,30 +122,95 @@ LICENSES = [
     ("blueoak-1.0.0", "blueoak 1 0 0", "blue oak", f"blue oak model {LIC}"),
     ("mulanpsl-2.0", "mulanpsl 2 0", "mulan", f"mulan (?:psl|permissive software {LIC})"),
     ("openrail", "openrail", "openrail", f"(?:creativeml |bigscience )?openrail(?: m)?(?: {LIC})?"),
-    ("cc-by-nc-nd-4.0", "cc by nc nd 4 0", "by nc nd", "cc by nc nd 4 0"),
-    ("cc-by-nc-nd", "cc by nc nd", "by nc nd", "cc by nc nd(?: [123] [05])?"),
-    ("cc-by-nc-sa-4.0", "cc by nc sa 4 0", "by nc sa", "cc by nc sa 4 0"),
-    ("cc-by-nc-sa", "cc by nc sa", "by nc sa", "cc by nc sa(?: [123] [05])?"),
-    ("cc-by-nc-4.0", "cc by nc 4 0", "by nc", "cc by nc 4 0"),
-    ("cc-by-nc", "cc by nc", "by nc", "cc by nc(?: [123] [05])?"),
-    ("cc-by-nd-4.0", "cc by nd 4 0", "by nd", "cc by nd 4 0"),
-    ("cc-by-nd", "cc by nd", "by nd", "cc by nd(?: [123] [05])?"),
-    ("cc-by-sa-4.0", "cc by sa 4 0", "by sa", "cc by sa 4 0"),
-    ("cc-by-sa", "cc by sa", "by sa", "cc by sa(?: [123] [05])?"),
-    ("cc-by-4.0", "cc by 4 0", "cc by", "cc by 4 0"),
-    ("cc-by-3.0", "cc by 3 0", "cc by", "cc by 3 0"),
-    ("cc-by-2.0", "cc by 2 0", "cc by", "cc by 2 [05]"),
+    ("cc-by-nc-nd-4.0", "cc by nc nd 4 0", "by nc nd", f"cc by nc nd {VER}4 0"),
+    ("cc-by-nc-nd", "cc by nc nd", "by nc nd", f"cc by nc nd(?: {VER}[123] [05])?"),
+    ("cc-by-nc-sa-4.0", "cc by nc sa 4 0", "by nc sa", f"cc by nc sa {VER}4 0"),
+    ("cc-by-nc-sa", "cc by nc sa", "by nc sa", f"cc by nc sa(?: {VER}[123] [05])?"),
+    ("cc-by-nc-4.0", "cc by nc 4 0", "by nc", f"cc by nc {VER}4 0"),
+    ("cc-by-nc", "cc by nc", "by nc", f"cc by nc(?: {VER}[123] [05])?"),
+    ("cc-by-nd-4.0", "cc by nd 4 0", "by nd", f"cc by nd {VER}4 0"),
+    ("cc-by-nd", "cc by nd", "by nd", f"cc by nd(?: {VER}[123] [05])?"),
+    ("cc-by-sa-4.0", "cc by sa 4 0", "by sa", f"cc by sa {VER}4 0"),
+    ("cc-by-sa", "cc by sa", "by sa", f"cc by sa(?: {VER}[123] [05])?"),
+    ("cc-by-4.0", "cc by 4 0", "cc by", f"cc by {VER}4 0"),
+    ("cc-by-3.0", "cc by 3 0", "cc by", f"cc by {VER}3 0"),
+    ("cc-by-2.0", "cc by 2 0", "cc by", f"cc by {VER}2 [05]"),
     ("cc-by", "cc by", "cc by", "cc by"),
-    ("cc0-1.0", "cc0 1 0", "cc0", f"cc0(?: 1 0)?(?: universal)?(?: {LIC})?"),
-    ("cc-by-nc-nd", "", "noncommercial noderiv", "creative commons attribution noncommercial noderiv(?:ative)?s?"),
-    ("cc-by-nc-sa", "", "noncommercial sharealike", "creative commons attribution noncommercial sharealike"),
-    ("cc-by-nc", "", "attribution noncommercial", "creative commons attribution noncommercial"),
-    ("cc-by-nd", "", "attribution noderiv", "creative commons attribution noderiv(?:ative)?s?"),
-    ("cc-by-sa", "", "attribution share", "creative commons attribution share ?alike"),
-    ("cc-by", "", "creative commons attribution", f"creative commons attribution(?: [1234] [05])?(?: international)?(?: {LIC})?"),
+    ("cc0-1.0", "cc0 1 0", "cc0", f"cc0(?: {VER}1 0)?(?: universal)?(?: {LIC})?"),
+    ("cc0-1.0", "", "creative commons zero", f"creative commons zero(?: {VER}1 0)?(?: universal)?(?: {LIC})?"),
+    ("cc-by-nc-nd-4.0", "", "attribution non", f"creative commons attribution {NC} {ND}(?: {LIC})? {VER}4 0{REST}"),
+    ("cc-by-nc-nd", "", "attribution non", f"creative commons attribution {NC} {ND}(?:(?: {LIC})? {VER}[123] [05])?{REST}"),
+    ("cc-by-nc-sa-4.0", "", "attribution non", f"creative commons attribution {NC} {SA}(?: {LIC})? {VER}4 0{REST}"),
+    ("cc-by-nc-sa", "", "attribution non", f"creative commons attribution {NC} {SA}(?:(?: {LIC})? {VER}[123] [05])?{REST}"),
+    ("cc-by-nc-4.0", "", "attribution non", f"creative commons attribution {NC}(?: {LIC})? {VER}4 0{REST}"),
+    ("cc-by-nc", "", "attribution non", f"creative commons attribution {NC}(?:(?: {LIC})? {VER}[123] [05])?{REST}"),
+    ("cc-by-nd-4.0", "", "attribution no", f"creative commons attribution {ND}(?: {LIC})? {VER}4 0{REST}"),
+    ("cc-by-nd", "", "attribution no", f"creative commons attribution {ND}(?:(?: {LIC})? {VER}[123] [05])?{REST}"),
+    ("cc-by-sa-4.0", "", "attribution share", f"creative commons attribution {SA}(?: {LIC})? {VER}4 0{REST}"),
+    ("cc-by-sa", "", "attribution share", f"creative commons attribution {SA}(?:(?: {LIC})? {VER}[123] [05])?{REST}"),
+    ("cc-by-4.0", "", "creative commons attribution", f"creative commons attribution(?: {LIC})? {VER}4 0{REST}"),
+    ("cc-by-3.0", "", "creative commons attribution", f"creative commons attribution(?: {LIC})? {VER}3 0{REST}"),
+    ("cc-by-2.0", "", "creative commons attribution", f"creative commons attribution(?: {LIC})? {VER}2 [05]{REST}"),
+    ("cc-by", "", "creative commons attribution", f"creative commons attribution(?:(?: {LIC})? {VER}1 0)?{REST}"),
+    ("0bsd", "", "free public licen", f"free public {LIC}(?: 1 0 0)?"),
     ("cc", "", "creative commons", f"creative commons {LIC}"),
 ]
 
+# Abbreviated names, which say less: label, keyword and pattern. Abbreviations that
+# are words of their own (mit, isc, zlib, ruby) count only before "license", above.
+ABBREVIATIONS = [
+    ("agpl-3.0", "agpl", f"(?:gnu )?agpl ?{VER}3(?: 0)?"),
+    ("agpl-1.0", "agpl", f"agpl ?{VER}1(?: 0)?"),
+    ("agpl", "agpl", "(?:gnu )?agpl"),
+    ("lgpl-3.0", "lgpl", f"(?:gnu )?lgpl ?{VER}3(?: 0)?"),
+    ("lgpl-2.1", "lgpl", f"(?:gnu )?lgpl ?{VER}2 1"),
+    ("lgpl-2.0", "lgpl", f"(?:gnu )?lgpl ?{VER}2(?: 0)?"),
+    ("lgpl", "lgpl", "(?:gnu )?lgpl"),
+    ("gpl-3.0", "gpl", f"(?:gnu )?gpl ?{VER}3(?: 0)?"),
+    ("gpl-2.0", "gpl", f"(?:gnu )?gpl ?{VER}2(?: 0)?"),
+    ("gpl-1.0", "gpl", f"(?:gnu )?gpl ?{VER}1(?: 0)?"),
+    ("gpl", "gpl", "(?:gnu )?gpl"),
+    ("gfdl-1.3", "fdl", f"(?:gnu fdl|gfdl) ?{VER}1 3"),
+    ("gfdl-1.2", "fdl", f"(?:gnu fdl|gfdl) ?{VER}1 2"),
+    ("gfdl", "fdl", "(?:gnu fdl|gfdl)"),
+    ("apache-2.0", "apache", f"apache ?{VER}2(?: 0)? {LIC}"),
+    ("apache-2.0", "apache", f"apache ?{VER}2 0(?! [0-9])"),
+    ("apache-2.0", " asl", f"asl ?{VER}2 0"),
+    ("apache-1.1", "apache", f"apache {VER}1 1 {LIC}"),
+    ("apache-1.0", "apache", f"apache {VER}1 0 {LIC}"),
+    ("bsd-4-clause", "bsd", "(?:bsd (?:4|four) clause|(?:4|four) clause bsd)"),
+    ("bsd-3-clause", "bsd", "(?:bsd (?:3|three) clause|(?:3|three) clause bsd|bsd3)"),
+    ("bsd-2-clause", "bsd", "(?:bsd (?:2|two) clause|(?:2|two) clause bsd|bsd2)"),
+    ("bsd-1-clause", "bsd", "(?:bsd (?:1|one) clause|(?:1|one) clause bsd)"),
+    ("0bsd", "bsd", "(?:bsd (?:0|zero) clause|(?:0|zero) clause bsd|0bsd)"),
+    ("mpl-2.0", " mpl", f"mpl ?(?:{VER}2 0|v ?2)"),
+    ("mpl-1.1", " mpl", f"mpl ?{VER}1 1"),
+    ("mpl-1.0", " mpl", f"mpl ?{VER}1 0"),
+    ("epl-2.0", " epl", f"epl ?(?:{VER}2 0|v ?2)"),
+    ("epl-1.0", " epl", f"epl ?(?:{VER}1 0|v ?1)"),
+    ("cpl-1.0", " cpl", f"cpl ?{VER}1 0"),
+    ("cddl-1.1", "cddl", f"cddl ?{VER}1 1"),
+    ("cddl-1.0", "cddl", f"cddl(?: ?{VER}1 0)?"),
+    ("ms-pl", " ms pl", "ms pl"),
+    ("ms-rl", " ms rl", "ms rl"),
+    ("artistic-2.0", "artistic", f"artistic {VER}2 0"),
+    ("bsl-1.0", " bsl", f"bsl ?{VER}1 0"),
+    ("busl-1.1", " bsl", f"bsl ?{VER}1 1"),
+    ("busl-1.1", "busl", f"busl ?{VER}1 1"),
+    ("sspl-1.0", "sspl", f"sspl(?: ?{VER}1(?: 0)?)?"),
+    ("wtfpl", "wtfpl", f"wtfpl(?: ?{VER}2(?: 0)?)?"),
+    ("afl-3.0", " afl", f"afl ?{VER}3 0"),
+    ("osl-3.0", " osl", f"osl ?{VER}3 0"),
+    ("eupl-1.2", "eupl", f"eupl ?{VER}1 2"),
+    ("eupl", "eupl", "eupl"),
+    ("apsl-2.0", "apsl", f"apsl ?{VER}2(?: 0)?"),
+    ("upl-1.0", " upl", f"upl ?{VER}1 0"),
+    ("ofl-1.1", " ofl", f"(?:sil )?ofl ?{VER}1 1"),
+    ("ofl-1.1", "sil ofl", "sil ofl"),
+    ("odbl-1.0", "odbl", f"odbl(?: ?{VER}1 0)?"),
+    ("pddl-1.0", "pddl", f"pddl ?{VER}1 0"),
+]
+
 # Sentences that belong to one license, whatever name stands near them.
 SENTENCES = [
     ("mit", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy"),
@@ -153,10 +223,20 @@ SENTENCES = [
     ("unlicense", "released into the public domain", "free and unencumbered software released into the public domain"),
     ("zlib", "provided as is without any express", "this software is provided as is without any express or implied warranty"),
     ("public-domain", "public domain", "(?:released into|placed in|dedicated to) the public domain"),
-    ("cc-by", "creativecommons org", f"creativecommons org {LIC}s by [1234] [05]"),
-    ("cc-by-sa", "creativecommons org", f"creativecommons org {LIC}s by sa [1234] [05]"),
-    ("cc-by-nc", "creativecommons org", f"creativecommons org {LIC}s by nc [1234] [05]"),
-    ("cc-by-nd", "creativecommons org", f"creativecommons org {LIC}s by nd [1234] [05]"),
+    ("cc-by-4.0", "creativecommons org", f"creativecommons org {LIC}s by 4 0"),
+    ("cc-by-3.0", "creativecommons org", f"creativecommons org {LIC}s by 3 0"),
+    ("cc-by-2.0", "creativecommons org", f"creativecommons org {LIC}s by 2 [05]"),
+    ("cc-by", "creativecommons org", f"creativecommons org {LIC}s by 1 0"),
+    ("cc-by-sa-4.0", "creativecommons org", f"creativecommons org {LIC}s by sa 4 0"),
+    ("cc-by-sa", "creativecommons org", f"creativecommons org {LIC}s by sa [123] [05]"),
+    ("cc-by-nc-4.0", "creativecommons org", f"creativecommons org {LIC}s by nc 4 0"),
+    ("cc-by-nc", "creativecommons org", f"creativecommons org {LIC}s by nc [123] [05]"),
+    ("cc-by-nd-4.0", "creativecommons org", f"creativecommons org {LIC}s by nd 4 0"),
+    ("cc-by-nd", "creativecommons org", f"creativecommons org {LIC}s by nd [123] [05]"),
+    ("cc-by-nc-sa-4.0", "creativecommons org", f"creativecommons org {LIC}s by nc sa 4 0"),
+    ("cc-by-nc-sa", "creativecommons org", f"creativecommons org {LIC}s by nc sa [123] [05]"),
+    ("cc-by-nc-nd-4.0", "creativecommons org", f"creativecommons org {LIC}s by nc nd 4 0"),
+    ("cc-by-nc-nd", "creativecommons org", f"creativecommons org {LIC}s by nc nd [123] [05]"),
     ("cc0-1.0", "creativecommons org", "creativecommons org publicdomain zero 1 0"),
 ]
 
@@ -179,7 +259,7 @@ def rules() -> list[Rule]:
     """All rules in order: identifiers, notices, names, generic phrases.
 
     Each license has three forms: its identifier after an SPDX tag, its name in
-    a grant, and its name alone.
+    a grant, and its name alone; an abbreviation has the last two.
     """
     out = []
     for label, words, _, _ in LICENSES:
@@ -192,6 +272,10 @@ def rules() -> list[Rule]:
         out.append(Rule(NOTICE, label, keyword, GRANT + name, 0.9))
     for label, _, keyword, name in LICENSES:
         out.append(Rule(NAME, label, keyword, name, 0.6))
+    for label, keyword, name in ABBREVIATIONS:
+        out.append(Rule(NOTICE, label, keyword, GRANT + name, 0.9))
+    for label, keyword, name in ABBREVIATIONS:
+        out.append(Rule(NAME, label, keyword, name, 0.5))
     for label, keyword, pattern, confidence in OTHERS:
         out.append(Rule(GENERIC, label, keyword, pattern, confidence))
     return out
@@ -201,4 +285,8 @@ def rules() -> list[Rule]:
 STEMS = (
     "licen", "spdx", "copyright", "domain", "rights", "proprietary", "permission", "redistribut",
     "creative", "openrail", "mulan", "cc0", "attribution", "software", "source code",
+    "gpl", "fdl", "apache", "bsd", "cddl", "artistic", "busl", "sspl", "wtfpl", "eupl", "apsl", "odbl", "pddl",
+    "asl", "mpl", "epl", "cpl", "ms pl", "ms rl", "bsl", "afl", "osl", "upl", "ofl",
 )
+# Those of them that many words contain: they count only where a word starts.
+AT_START = ("asl", "mpl", "epl", "cpl", "ms pl", "ms rl", "bsl", "afl", "osl", "upl", "ofl")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import whole_text
-from tidemark.llm.license_rules import BASE, GENERIC, STEMS, TAG, rules
+from tidemark.llm.license_rules import AT_START, BASE, GENERIC, STEMS, TAG, rules
 
 # Separators and words of the contract.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -39,11 +39,13 @@ def may_hold(text: str = "text") -> Column:
     """Whether some rule or base phrase can match: every one needs a stem or "cc by".
 
     Full lower-casing finds every ASCII match, and stems of two words are looked
-    for by their first.
+    for by their first, those at the start of a word by both.
     """
     low = F.lower(whole_text(text))
-    stems = [low.contains(s.split()[0]) for s in STEMS]
+    stems = [low.contains(s.split()[0]) for s in STEMS if s not in AT_START]
+    starts = "|".join(s.replace(" ", SEPARATORS) for s in AT_START)
     hit = low.contains("cc") & low.rlike(r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by")
+    hit = hit | low.rlike(f"(?:^|{SEPARATORS[:-1]})(?:{starts})")
     for stem in stems:
         hit = stem | hit
     return hit
