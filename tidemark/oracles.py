@@ -1269,6 +1269,7 @@ from (select doc_id, commit_epoch, major, minor, tie, op_no, kind, null as xattr
 oracle("stream_admin", ["admin_only"], folded("admin_only", "doc_id", [n for n, _ in FIELDS]))
 for streamed, whole in (
     ("stream_apps", "fold_apps"),
+    ("stream_provenance", "fold_provenance"),
     ("stream_quarantine", "quarantine"),
     ("stream_retention", "retention_buffer"),
 ):

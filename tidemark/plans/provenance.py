@@ -144,9 +144,12 @@ def step_fields() -> Column:
     )
 
 
-def enriched(rows: DataFrame, inodes: DataFrame, buffer: DataFrame) -> DataFrame:
+def enriched(
+    rows: DataFrame, inodes: DataFrame, buffer: DataFrame, seen: DataFrame | None = None
+) -> DataFrame:
     """Rows with asset, store mode, project, xattr value and view flag.
 
+    `seen` has the ids of inodes that earlier rows of a stream were found under.
     `problem` names what makes a row unprocessable (X5), null for good rows.
     The rows are written once after the as-of and buffer joins: the lookups
     that follow derive their key sets from them.
@@ -181,7 +184,10 @@ def enriched(rows: DataFrame, inodes: DataFrame, buffer: DataFrame) -> DataFrame
         }
     )
     flagged = lookup(moded, project("project_i_id", "_name", "_exists"), ["project_i_id"])
-    views = viewable_inodes(valued, inodes).withColumn("_viewable", F.lit(True))
+    views = viewable_inodes(valued, inodes)
+    if seen is not None:
+        views = views.unionByName(seen).distinct()
+    views = views.withColumn("_viewable", F.lit(True))
     flagged = lookup(flagged, views, ["inode_id"])
     return flagged.withColumns(
         {
@@ -221,6 +227,14 @@ def problem() -> Column:
     )
 
 
+def may_write() -> Column:
+    """Whether a row can have steps once its inode is viewable; a delete never waits for that."""
+    changes_mode = _sets_xattr() & (F.col("i_xattr_name") == CORE_XATTR)
+    return (F.col("inode_operation") != "DELETE") & (
+        asset_kind().isNotNull() | F.coalesce(changes_mode, F.lit(False))
+    )
+
+
 def planned_steps() -> Column:
     """The steps of a row, empty when it is skipped."""
     kind, asset, mode = op_kind(), asset_kind(), F.col("mode")

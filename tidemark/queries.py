@@ -29,6 +29,7 @@ from tidemark.session import materialize, shared_root
 from tidemark.sources import feeds, schemas
 from tidemark.streaming.pipeline import EpochBarrier, Outputs, drain
 from tidemark.streaming.state_table import StateTable
+from tidemark.streaming.viewable import ViewableBarrier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -1012,13 +1013,20 @@ def stream_apps(t: Tables) -> DataFrame:
 def _provenance_stream(t: Tables) -> tuple[DataFrame, Outputs]:
     """The provenance log as a stream: its documents, quarantine and acknowledgements.
 
-    Which inodes count as viewable is asked per batch, as live operation does,
-    so the documents can differ from those of one fold over the whole log.
+    Inodes found viewable are kept across batches, so the documents are those of
+    one fold over the whole log.
     """
     stream, folder = _stream(t, t.provenance, ["commit_epoch", "dataset_i_id", "io_logical_time"])
+    barrier = ViewableBarrier(t.spark, f"{folder}/open", t.provenance_inodes)
+
+    batch = {}
 
     def parted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return sink.split_problems(provenance.enriched(rows, t.provenance_inodes, t.xattr_buffer))
+        # Operations and outputs of a batch share its enrichment.
+        if batch.get("rows") is not rows:
+            found = provenance.enriched(rows, t.provenance_inodes, t.xattr_buffer, barrier.seen())
+            batch.update(rows=rows, parts=sink.split_problems(found))
+        return batch["parts"]
 
     outputs = Outputs(
         f"{folder}/out",
@@ -1030,12 +1038,19 @@ def _provenance_stream(t: Tables) -> tuple[DataFrame, Outputs]:
         lambda rows: _bare(provenance.provenance_ops(parted(rows)[0])),
         StateTable(t.spark, f"{folder}/state", docops.PROVENANCE_GROUPS),
         f"{folder}/checkpoint",
-        EpochBarrier(t.spark, f"{folder}/open"),
+        barrier,
         outputs,
     )
     return docs, outputs
 
 
+@query
+def stream_provenance(t: Tables) -> DataFrame:
+    """S1, X1, J11 on a stream: the provenance log; equal to `fold_provenance`."""
+    docs, _ = _provenance_stream(t)
+    return _provenance_columns(docs)
+
+
 @query
 def stream_quarantine(t: Tables) -> DataFrame:
     """X5 on a stream: the rows each batch put aside; equal to `quarantine`."""
