@@ -10,11 +10,14 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.fingerprints import order_fingerprints
 from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.licenses import licenses
+from tidemark.llm.minhash import minhash_components
 from tidemark.llm.mixing import mix
 from tidemark.llm.quality import scored
+from tidemark.llm.spelling import spelling_variants
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.warc import archived_pages
 from tidemark.llm.wavelet import token_file
+from tidemark.llm.whitening import whiten
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +60,18 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_token_counts": op2_token_counts,
@@ -68,4 +83,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc": op9_warc,
     "op10_jaccard": op10_jaccard,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
+    "op13_minhash": op13_minhash,
 }
