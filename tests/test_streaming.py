@@ -9,8 +9,8 @@ from test_mutations import frame, log, tables
 from tidemark.operators import fold, metrics, ordering
 from tidemark.plans import mutations
 from tidemark.sources import schemas
+from tidemark.streaming.documents import StreamedDocuments
 from tidemark.streaming.pipeline import EpochBarrier, apply_stream, drain
-from tidemark.streaming.state_table import StateTable
 
 
 def batches(df, n):
@@ -21,44 +21,43 @@ def whole(df):
     return rows(fold.fold(df)), rows(fold.fold_entries(df))
 
 
-def test_state_table_equals_one_fold(spark, tmp_path):
+def folded(store):
+    query = store.follow()
+    query.awaitTermination()
+    return query
+
+
+def test_streamed_state_equals_one_fold(spark, tmp_path):
     df = spark.createDataFrame(random_ops(21), OPS)
-    table = StateTable(spark, str(tmp_path / "state"))
+    store = StreamedDocuments(spark, str(tmp_path / "state"))
     for i, part in enumerate(batches(df, 5)):
-        table.apply(part, i)
-    table.apply(batches(df, 5)[2], 2)  # a repeated batch
-    assert (rows(table.documents()), rows(table.entries())) == whole(df)
+        store.add(part, i)
+        if i % 2:
+            folded(store)
+    store.add(batches(df, 5)[2], 2)  # a repeated batch
+    folded(store)
+    assert (rows(store.documents()), rows(store.entries())) == whole(df)
 
 
-def test_a_batch_rewrites_the_buckets_it_touches(spark, tmp_path):
+def test_a_batch_touches_the_keys_it_holds(spark, tmp_path):
     df = spark.createDataFrame(random_ops(22), OPS)
-    table = StateTable(spark, str(tmp_path / "state"), buckets=8)
-    table.apply(df, 0)
-    before = table._layout()["docs"]["buckets"]
-    first = df.first()
-    one = df.filter((F.col("index") == first["index"]) & (F.col("doc_id") == first["doc_id"]))
-    table.apply(one, 1)
-    after = table._layout()["docs"]["buckets"]
-    assert sum(before[b] != after[b] for b in before) == 1
-    assert (rows(table.documents()), rows(table.entries())) == whole(df)
-
-
-def test_folders_stay_bounded(spark, tmp_path):
-    df = spark.createDataFrame(random_ops(23, 200), OPS)
-    table = StateTable(spark, str(tmp_path / "state"), buckets=2)
-    for i, part in enumerate(batches(df, 50)):
-        table.apply(part, i)
-    assert len(table.files.names()) <= 2 * (2 * 2 + 1) + 2
-    assert (rows(table.documents()), rows(table.entries())) == whole(df)
-
-
-def test_unfinished_batch_is_ignored(spark, tmp_path):
-    df = spark.createDataFrame(random_ops(23, 30), OPS)
-    table = StateTable(spark, str(tmp_path / "state"))
-    table.apply(df, 0)
-    (tmp_path / "state" / "docs-1").mkdir()
-    assert table.batches() == [0]
-    assert rows(table.documents()) == whole(df)[0]
+    store = StreamedDocuments(spark, str(tmp_path / "state"))
+    store.add(df, 0)
+    first = folded(store).lastProgress["stateOperators"][0]
+    key = df.first()
+    one = df.filter((F.col("index") == key["index"]) & (F.col("doc_id") == key["doc_id"]))
+    store.add(one, 1)
+    after = folded(store).lastProgress["stateOperators"][0]
+    keys = fold.change_state(one).count()
+    assert after["numRowsUpdated"] == keys < first["numRowsUpdated"] == first["numRowsTotal"] == after["numRowsTotal"]
+    assert (rows(store.documents()), rows(store.entries())) == whole(df)
+
+
+def test_change_state_is_both_states(spark):
+    df = spark.createDataFrame(random_ops(23), OPS)
+    state = fold.change_state(df)
+    assert rows(fold.documents(state.filter("entry_key is null"))) == whole(df)[0]
+    assert rows(fold.entries(state.select(*fold.ENTRY_KEY, "entry").filter("entry is not null"))) == whole(df)[1]
 
 
 @pytest.fixture
@@ -84,7 +83,7 @@ def test_stream_with_barrier_equals_batch(spark, tmp_path, feed_folder):
         released.append(sorted(r[0] for r in rows_.select("commit_epoch").distinct().collect()))
         return rows_.drop("commit_epoch")
 
-    table = StateTable(spark, str(tmp_path / "state"))
+    table = StreamedDocuments(spark, str(tmp_path / "state"))
     barrier = EpochBarrier(spark, str(tmp_path / "open"))
     docs = drain(stream(spark, df, path), to_ops, table, str(tmp_path / "ckpt"), barrier)
     assert (rows(docs), rows(table.entries())) == whole(df.drop("commit_epoch"))
@@ -94,7 +93,7 @@ def test_stream_with_barrier_equals_batch(spark, tmp_path, feed_folder):
 
 def test_restart_continues_where_it_stopped(spark, tmp_path, feed_folder):
     df, path = feed_folder
-    table = StateTable(spark, str(tmp_path / "state"))
+    table = StreamedDocuments(spark, str(tmp_path / "state"))
 
     def start():
         query = apply_stream(
@@ -106,9 +105,11 @@ def test_restart_continues_where_it_stopped(spark, tmp_path, feed_folder):
     first = start()
     gauges = metrics.gauges([dict(p) if isinstance(p, dict) else p for p in first.recentProgress], spark)
     assert gauges.agg(F.sum("input_rows")).first()[0] == df.count()
+    folded(table)
     applied = table.last_batch()
     start()
     assert table.last_batch() == applied
+    folded(table)
     assert rows(table.documents()) == whole(df.drop("commit_epoch"))[0]
 
 
@@ -141,12 +142,13 @@ def test_a_missing_part_that_comes_one_batch_later(spark, tmp_path):
     ]
 
     def run(batches, name):
-        state = StateTable(spark, str(tmp_path / name))
+        state = StreamedDocuments(spark, str(tmp_path / name))
         barrier = EpochBarrier(spark, str(tmp_path / f"{name}-open"))
         for i, (rows_, xattrs) in enumerate(batches):
             barrier.hold = lambda df, x=xattrs: mutations.incomplete_xattr_changes(df, x)
             closed = barrier.release(log(spark, rows_), i)
-            state.apply(mutations.mutation_ops(closed, inodes, users, groups, xattrs), i)
+            state.add(mutations.mutation_ops(closed, inodes, users, groups, xattrs), i)
+        folded(state)
         return [(r["doc_id"], r["xattr_key"], r["xattr_raw"]) for r in state.entries().collect()]
 
     assert run(zip(feed, parts), "late") == [("101", "half", "hey!")]

@@ -52,22 +52,26 @@ def doc_state(ops: DataFrame, groups: list[list[str]] | None = None) -> DataFram
     `groups` lists fields that operations always write together: such a group
     keeps one seq, and its newest write replaces all of its members.
     """
+    return merge_docs(ops.select(*DOC_KEY, *_doc_writes(ops, groups)))
+
+
+def _doc_writes(ops: DataFrame, groups: list[list[str]] | None) -> list[Column]:
+    """What operations say about a document: created, deleted, and each group's fields."""
     seq, kind, body = F.col("seq"), F.col("kind"), F.col("fields")
     creates = (kind == UPSERT) | (kind.isin(MAP_REMOVE, MAP_CLEAR) & F.col("create_if_absent"))
-    written = {}
+    written = [F.when(creates, seq).alias("created"), F.when(kind == DELETE, seq).alias("deleted")]
     for names in _groups(ops, groups):
         any_set = F.coalesce(*[body[n].cast("string") for n in names]).isNotNull()
         value = F.struct(*[body[n].alias(n) for n in names])
-        written[f"g_{names[0]}"] = F.when(
-            (kind == UPSERT) & any_set, F.struct(seq.alias("seq"), value.alias("value"))
-        )
-    return merge_docs(
-        ops.select(
-            *DOC_KEY,
-            F.when(creates, seq).alias("created"),
-            F.when(kind == DELETE, seq).alias("deleted"),
-            *[c.alias(n) for n, c in written.items()],
-        )
+        set_ = F.when((kind == UPSERT) & any_set, F.struct(seq.alias("seq"), value.alias("value")))
+        written.append(set_.alias(f"g_{names[0]}"))
+    return written
+
+
+def _entry_write() -> Column:
+    """What an operation says about an entry, or about the whole map when it empties it."""
+    return F.struct(
+        F.col("seq").alias("seq"), (F.col("kind") == UPSERT).alias("present"), F.col("xattr_raw").alias("raw")
     )
 
 
@@ -77,20 +81,32 @@ def entry_state(ops: DataFrame) -> DataFrame:
     The row without an entry key holds the last operation that emptied the
     whole map: a DELETE of the document or a MAP_CLEAR.
     """
-    seq, kind = F.col("seq"), F.col("kind")
-    resets = kind.isin(DELETE, MAP_CLEAR)
+    resets = F.col("kind").isin(DELETE, MAP_CLEAR)
     rows = ops.filter(resets | F.col("xattr_key").isNotNull()).select(
         *DOC_KEY,
         F.when(~resets, F.col("xattr_key")).alias("entry_key"),
-        F.struct(
-            seq.alias("seq"),
-            (kind == UPSERT).alias("present"),
-            F.col("xattr_raw").alias("raw"),
-        ).alias("entry"),
+        _entry_write().alias("entry"),
     )
     return merge_entries(rows)
 
 
+def change_state(ops: DataFrame, groups: list[list[str]] | None = None) -> DataFrame:
+    """Document state and entry state in one aggregation, for batches and streams.
+
+    A document's fields and the emptying of its map are in its row without an
+    entry key. An operation on an entry gives two rows, one for the document.
+    """
+    resets = F.col("kind").isin(DELETE, MAP_CLEAR)
+    none = F.lit(None).cast("string")
+    key = F.col("xattr_key")
+    both = F.when(~resets & key.isNotNull(), F.array(none, key)).otherwise(F.array(none))
+    rows = ops.withColumn("entry_key", F.explode(both))
+    of_doc = F.col("entry_key").isNull()
+    writes = {c: F.when(of_doc, F.col(c)) for c in rows.select(*_doc_writes(ops, groups)).columns}
+    rows = rows.select(*ENTRY_KEY, *_doc_writes(ops, groups), F.when(resets | ~of_doc, _entry_write()).alias("entry"))
+    return merge_entries(rows.withColumns(writes))
+
+
 def _after(seq: Column, limit: Column) -> Column:
     return seq.isNotNull() & (limit.isNull() | (seq > limit))
 

@@ -851,6 +851,50 @@ oracle(
     + folded_map("provenance_ops", "index_name, doc_id")
     + ") m",
 )
+
+
+def leaves(values: str, key: str) -> str:
+    """One row per leaf, and per empty object, of the JSON values `v`."""
+    return f"""
+select {key}, xattr_key, t.fullkey as path, cast(t.value as varchar) as leaf
+from ({values}) f, json_tree(f.v) t
+where t.type <> 'OBJECT' or cast(t.value as varchar) = '{{}}'
+"""
+
+
+MERGED = """
+select doc_id, xattr_key, list_reduce(list(v order by io_logical_time), lambda x, y: json_merge_patch(x, y)) as v
+from (
+  select *, max(case when what = 'reset' then io_logical_time end) over (partition by doc_id) as reset_at,
+    max(case when what = 'remove' then io_logical_time end) over (partition by doc_id, xattr_key) as removed_at
+  from (
+    select cast(dataset_i_id as varchar) as doc_id, 'x' || cast(k % 2 as varchar) as xattr_key, io_logical_time,
+      case when event_type in ('purchase', 'view', 'click') then 'set'
+        when event_type = 'signup' and k % 4 in (0, 1) then 'reset' else 'remove' end as what,
+      case k % 6
+        when 0 then '{"a": {"b": ' || k || ', "c": "x' || k || '"}, "d": true}'
+        when 1 then '{"a": {"e": ' || k || '}, "n": {}}'
+        when 2 then '{"a": ' || k || '}'
+        when 3 then '"text-' || k || '"'
+        when 4 then '{"a": {"b": {"f": ' || k || '}}, "n": {"m": 1.5}}'
+        else '"' || k || '"' end::json as v
+    from provenance) o) r
+where what = 'set' and (reset_at is null or io_logical_time > reset_at)
+  and (removed_at is null or io_logical_time > removed_at)
+group by doc_id, xattr_key
+"""
+oracle("fold_map_nested", ["provenance"], leaves(MERGED, "doc_id"))
+oracle(
+    "fold_provenance_nested",
+    ["provenance_ops"],
+    leaves(
+        "select m.*, case when json_valid(xattr_raw) then xattr_raw::json else to_json(xattr_raw) end as v from ("
+        + folded_map("provenance_ops", "index_name, doc_id")
+        + """) m where json_valid(xattr_raw) or (index_name, doc_id) not in
+          (select (index_name, doc_id) from provenance_ops where entry_type = 'operation')""",
+        "index_name, doc_id",
+    ),
+)
 oracle(
     "fold_apps",
     ["app_states"],

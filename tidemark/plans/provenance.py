@@ -22,7 +22,7 @@ from tidemark.functions.keys import (
     project_index,
     state_doc_id,
 )
-from tidemark.functions.values import readable_time, store_mode
+from tidemark.functions.values import is_json, readable_time, store_mode
 from tidemark.operators import docops as D
 from tidemark.operators.enrich import (
     existing_projects,
@@ -316,3 +316,13 @@ def provenance_ops(good: DataFrame) -> DataFrame:
 def acknowledged(good: DataFrame) -> DataFrame:
     """Every processed log row, applied or skipped, with its companion."""
     return good.select(*PROVENANCE_KEY, companion_key().alias("companion"))
+
+
+def with_values(ops: DataFrame) -> DataFrame:
+    """The operations whose xattr has a `value` beside its raw text.
+
+    A state document's value is the parsed JSON, or the text where it is none;
+    the record of an operation has a value only where it is JSON.
+    """
+    text_of_record = (F.col("fields.entry_type") == "operation") & ~is_json(F.col("xattr_raw"))
+    return ops.filter(F.col("xattr_raw").isNull() | ~F.coalesce(text_of_record, F.lit(False)))

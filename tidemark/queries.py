@@ -20,6 +20,7 @@ from tidemark.operators import (
     fold,
     joins,
     metrics,
+    nested,
     ordering,
     retention,
     sink,
@@ -27,8 +28,8 @@ from tidemark.operators import (
 from tidemark.plans import cascade, mutations, provenance, rebuild
 from tidemark.session import materialize, shared_root
 from tidemark.sources import feeds, schemas
+from tidemark.streaming.documents import StreamedDocuments
 from tidemark.streaming.pipeline import EpochBarrier, Outputs, drain
-from tidemark.streaming.state_table import StateTable
 from tidemark.streaming.viewable import ViewableBarrier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -670,6 +671,50 @@ def fold_provenance_map(t: Tables) -> DataFrame:
     )
 
 
+def _path_rows(leaves: DataFrame) -> DataFrame:
+    path = F.concat_ws(".", F.lit("$"), "path")
+    return leaves.select(F.col("index").alias("index_name"), "doc_id", "xattr_key", path.alias("path"), "leaf")
+
+
+def _nested_ops(t: Tables) -> DataFrame:
+    """The provenance log as changes of a dataset's xattrs, whose values conflict.
+
+    Objects meet objects, scalars and texts on the same names; some changes
+    remove an entry, empty the map or delete the document.
+    """
+    k, clock = F.col("k"), F.col("io_logical_time")
+    value = F.expr("""
+        case k % 6
+          when 0 then concat('{"a": {"b": ', k, ', "c": "x', k, '"}, "d": true}')
+          when 1 then concat('{"a": {"e": ', k, '}, "n": {}}')
+          when 2 then concat('{"a": ', k, '}')
+          when 3 then concat('text-', k)
+          when 4 then concat('{"a": {"b": {"f": ', k, '}}, "n": {"m": 1.5}}')
+          else concat('"', k, '"') end""")
+    doc, key = F.col("dataset_i_id"), F.concat(F.lit("x"), F.pmod(k, F.lit(2)).cast("string"))
+    kind = F.col("event_type")
+    ops = (
+        F.when(kind.isin("purchase", "view", "click"), F.array(docops.xattr_set(doc, key, value)))
+        .when((kind == "signup") & (k % 4 == 0), F.array(docops.xattr_clear(doc)))
+        .when((kind == "signup") & (k % 4 == 1), F.array(docops.delete_doc(doc)))
+        .otherwise(F.array(docops.xattr_remove(doc, key)))
+    )
+    return docops.explode_ops(t.provenance, ops, F.lit("datasets"), F.struct(clock.alias("clock")), [])
+
+
+@query
+def fold_map_nested(t: Tables) -> DataFrame:
+    """X2 over D6, F16: values merged object by object, one row per leaf."""
+    return _path_rows(nested.nested_leaves(nested.nested_state(_nested_ops(t)))).drop("index_name")
+
+
+@query
+def fold_provenance_nested(t: Tables) -> DataFrame:
+    """X2 over D13, D16: the parsed values of a document's xattrs, one row per leaf."""
+    ops = provenance.with_values(_provenance_ops(t))
+    return _path_rows(nested.nested_leaves(nested.nested_state(ops)))
+
+
 @query
 def fold_apps(t: Tables) -> DataFrame:
     """X1 over D18."""
@@ -975,7 +1020,7 @@ def stream_replay(t: Tables) -> DataFrame:
     docs = drain(
         stream,
         to_ops,
-        StateTable(t.spark, f"{folder}/state", docops.SEARCH_GROUPS),
+        StreamedDocuments(t.spark, f"{folder}/state", docops.SEARCH_GROUPS),
         f"{folder}/checkpoint",
         EpochBarrier(t.spark, f"{folder}/open", lambda rows: mutations.incomplete_xattr_changes(rows, t.xattrs)),
     )
@@ -989,7 +1034,7 @@ def stream_admin(t: Tables) -> DataFrame:
     docs = drain(
         stream,
         lambda rows: _bare(mutations.admin_ops(rows, t.datasets, t.projects)),
-        StateTable(t.spark, f"{folder}/state", docops.SEARCH_GROUPS),
+        StreamedDocuments(t.spark, f"{folder}/state", docops.SEARCH_GROUPS),
         f"{folder}/checkpoint",
         EpochBarrier(t.spark, f"{folder}/open"),
     )
@@ -1003,7 +1048,7 @@ def stream_apps(t: Tables) -> DataFrame:
     docs = drain(
         stream,
         docops.app_states,
-        StateTable(t.spark, f"{folder}/state", docops.APP_GROUPS),
+        StreamedDocuments(t.spark, f"{folder}/state", docops.APP_GROUPS),
         f"{folder}/checkpoint",
         EpochBarrier(t.spark, f"{folder}/open"),
     )
@@ -1036,7 +1081,7 @@ def _provenance_stream(t: Tables) -> tuple[DataFrame, Outputs]:
     docs = drain(
         stream,
         lambda rows: _bare(provenance.provenance_ops(parted(rows)[0])),
-        StateTable(t.spark, f"{folder}/state", docops.PROVENANCE_GROUPS),
+        StreamedDocuments(t.spark, f"{folder}/state", docops.PROVENANCE_GROUPS),
         f"{folder}/checkpoint",
         barrier,
         outputs,

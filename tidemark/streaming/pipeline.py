@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import union_feeds
 from tidemark.session import configure
-from tidemark.streaming.state_table import Files, StateTable
+from tidemark.streaming.documents import StreamedDocuments
+from tidemark.streaming.files import Files
 
 OPEN = re.compile(r"open-(\d+)$")
 Rows = Callable[[DataFrame], DataFrame]
@@ -84,18 +85,18 @@ class Outputs:
 def apply_stream(
     feed: DataFrame,
     to_ops: Rows,
-    store: StateTable,
+    store: StreamedDocuments,
     checkpoint: str,
     barrier: EpochBarrier | None = None,
     outputs: Outputs | None = None,
     trigger: dict | None = None,
 ):
-    """Start a query that applies a feed to a state table.
+    """Start a query that adds the operations of a feed to a store of documents.
 
     `to_ops` is the same function the batch job uses. The checkpoint is the
-    acknowledgement (X4): a batch counts as applied once the state table names
-    it, and is applied again, with the same result, otherwise. `trigger` is
-    that of the stream, by default all that is available; the source's own
+    acknowledgement (X4): a batch that it does not name is added again, with the
+    same result. `store.follow` is the query that folds what is added. `trigger`
+    is that of the stream, by default all that is available; the source's own
     rate limit bounds a batch (O10).
     """
 
@@ -105,7 +106,7 @@ def apply_stream(
         batch = batch.persist()
         try:
             rows = barrier.release(batch, batch_id) if barrier else batch
-            store.apply(to_ops(rows), batch_id)
+            store.add(to_ops(rows), batch_id)
             if outputs:
                 outputs.write(rows, batch_id)
         finally:
@@ -122,19 +123,20 @@ def apply_stream(
 def drain(
     feed: DataFrame,
     to_ops: Rows,
-    store: StateTable,
+    store: StreamedDocuments,
     checkpoint: str,
     barrier: EpochBarrier | None = None,
     outputs: Outputs | None = None,
 ) -> DataFrame:
-    """Apply everything available, close the last epoch, return the documents."""
+    """Apply everything available, close the last epoch, fold, return the documents."""
     query = apply_stream(feed, to_ops, store, checkpoint, barrier, outputs)
     query.awaitTermination()
     if barrier:
         rest = barrier.remaining(feed.schema)
         if rest is not None:
             batch_id = store.last_batch() + 1
-            store.apply(to_ops(rest), batch_id)
+            store.add(to_ops(rest), batch_id)
             if outputs:
                 outputs.write(rest, batch_id)
+    store.follow().awaitTermination()
     return store.documents()
