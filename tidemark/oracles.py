@@ -7,6 +7,8 @@ recursive CTEs, ASOF joins) and serve as the correctness check on one node.
 from __future__ import annotations
 
 from tidemark.bindings import PLAIN, select_text
+from tidemark.catalog import CATALOG, DELETED
+from tidemark.plans.cascade import CATALOG_KEYS, CATALOG_RULES
 
 ORACLES: dict[str, str] = {}
 
@@ -1122,6 +1124,47 @@ select (select count(*) from lineitem where l_orderkey not in
 """,
 )
 
+
+
+def catalog_sql(rounds: int) -> str:
+    """The catalog cascade, all tables round by round: what goes grows to a fixpoint."""
+    parts = [f"{n} as (" + " union all ".join(f"select {c} from {s}" for s, c in CATALOG[n]) + ")" for n in CATALOG]
+    for name, (source, columns, which) in DELETED.items():
+        parts.append(f"{name}_0 as materialized (select {columns} from {source} where {which})")
+    have = {name: f"{name}_0" for name in DELETED}
+    for i in range(1, rounds + 1):
+        now = {}
+        for name in CATALOG:
+            tests = []
+            for r in CATALOG_RULES:
+                if r.target != name or r.table not in have:
+                    continue
+                target = " and ".join(f"g.{a} = t.{b}" for a, b in zip(r.columns, r.target_columns))
+                test = f"exists (select 1 from {have[r.table]} g where {target})"
+                if r.shared:
+                    key = " and ".join(f"u.{k} = x.{k}" for k in CATALOG_KEYS[r.table])
+                    used = " and ".join(f"u.{a} = t.{b}" for a, b in zip(r.columns, r.target_columns))
+                    test += f" and not exists (select 1 from (select * from {r.table} u where not exists "
+                    test += f"(select 1 from {have[r.table]} x where {key})) u where {used})"
+                tests.append(f"({test})")
+            before = f"select * from {have[name]}" if name in have else None
+            found = f"select * from {name} t where {' or '.join(tests)}" if tests else None
+            if before or found:
+                both = " union ".join(q for q in (before, found) if q)
+                parts.append(f"{name}_{i} as materialized ({both})")
+                now[name] = f"{name}_{i}"
+        have |= now
+    out = " union all ".join(
+        f"select distinct '{n}' as table_name, concat_ws('-', {', '.join(f'cast({k} as varchar)' for k in CATALOG_KEYS[n])}) "
+        f"as deleted_key from {have[n]}"
+        for n in CATALOG
+        if n in have
+    )
+    return f"with {', '.join(parts)} {out}"
+
+
+ORACLES["cascade_catalog"] = catalog_sql(9)
+
 # --- retention -------------------------------------------------------------
 
 block(

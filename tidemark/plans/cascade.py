@@ -96,19 +96,33 @@ CATALOG_KEYS = {
 }
 
 
-def _targets(r: Rule, fresh: DataFrame, table: DataFrame | None, gone: DataFrame | None, key) -> DataFrame:
-    """Target keys a rule derives from the rows of its table deleted last."""
-    keys = fresh.select(
-        *[F.col(a).alias(b) for a, b in zip(r.columns, r.target_columns)]
-    ).dropna().distinct()
-    if not r.shared:
-        return keys
-    back = [F.col(b).alias(a) for a, b in zip(r.columns, r.target_columns)]
-    users = keep_existing(table, keys.select(*back), list(r.columns))
-    still_used = keep_missing(users, gone, key).select(
-        *[F.col(a).alias(b) for a, b in zip(r.columns, r.target_columns)]
-    )
-    return keep_missing(keys, still_used, list(r.target_columns))
+class References:
+    """How many rows of a table still point to each target of a shared rule.
+
+    The table is counted once; every round adds the rows it deleted as negative
+    counts. So no round reads the referencing table again.
+    """
+
+    def __init__(self, r: Rule, rows: DataFrame):
+        self.rule = r
+        self.counts = materialize(self._counted(rows, 1), "references")
+
+    def _counted(self, rows: DataFrame, sign: int) -> DataFrame:
+        named = rows.select(*_target_key(self.rule)).dropna()
+        return named.groupBy(*self.rule.target_columns).agg((sign * F.count(F.lit(1))).alias("refs"))
+
+    def lose(self, rows: DataFrame) -> None:
+        self.counts = self.counts.unionByName(materialize(self._counted(rows, -1), "references"))
+
+    def unused(self, keys: DataFrame) -> DataFrame:
+        """Those of the target keys to which no row points any more."""
+        on = list(self.rule.target_columns)
+        left = keep_existing(self.counts, keys, on).groupBy(*on).agg(F.sum("refs").alias("refs"))
+        return keep_missing(keys, left.filter("refs > 0").select(*on), on)
+
+
+def _target_key(r: Rule) -> list:
+    return [F.col(a).alias(b) for a, b in zip(r.columns, r.target_columns)]
 
 
 def cascade(
@@ -122,28 +136,34 @@ def cascade(
     Only the rows deleted in one round trigger the next, and deleted rows are
     written once per round. A round that deletes nothing ends the loop; every
     other round deletes at least one row, so cycles in the rules end too. The
-    surviving rows are those of `survivors`.
+    rows deleted first may, as in a change feed, be gone from their table
+    already. The surviving rows are those of `survivors`.
     """
     wanted = {}
     for r in rules:
         for name, columns in ((r.table, r.columns), (r.target, r.target_columns)):
             wanted.setdefault(name, set()).update(columns)
-    slim = {
-        name: tables[name].select(*dict.fromkeys([*keys[name], *sorted(columns)]))
-        for name, columns in wanted.items()
-        if name in tables
-    }
+    names = {name: list(dict.fromkeys([*keys[name], *sorted(columns)])) for name, columns in wanted.items()}
+    slim = {name: tables[name].select(*columns) for name, columns in names.items() if name in tables}
+    shared = [r for r in rules if r.shared and r.table in slim and r.target in slim]
+    # Rows that a shared rule counts are counted, and deleted, once.
+    for name in {r.table for r in shared}:
+        slim[name] = materialize(slim[name].distinct(), f"slim-{name}")
+    counts = {r: References(r, slim[r.table]) for r in shared}
     fresh = {
-        name: materialize(rows.select(*slim[name].columns), f"gone-{name}")
-        for name, rows in deleted.items()
+        name: materialize(rows.select(*names[name]).distinct(), f"gone-{name}") for name, rows in deleted.items()
     }
+    for r in shared:
+        if r.table in fresh:
+            counts[r].lose(keep_existing(slim[r.table], fresh[r.table], keys[r.table]))
     gone = dict(fresh)
     while fresh:
         matches: dict[str, list[DataFrame]] = {}
         for r in rules:
             if r.table not in fresh or r.target not in slim:
                 continue
-            hit = _targets(r, fresh[r.table], slim[r.table], gone[r.table], keys[r.table])
+            hit = fresh[r.table].select(*_target_key(r)).dropna().distinct()
+            hit = counts[r].unused(hit) if r in counts else hit
             rows = keep_existing(slim[r.target], hit, list(r.target_columns))
             matches.setdefault(r.target, []).append(rows)
         fresh = {}
@@ -159,6 +179,9 @@ def cascade(
                 fresh[name] = written
         for name, rows in fresh.items():
             gone[name] = gone[name].unionByName(rows) if name in gone else rows
+            for r in shared:
+                if r.table == name:
+                    counts[r].lose(rows)
     return gone
 
 

@@ -5,6 +5,7 @@ Results are flat: document structs become columns, maps become rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.bindings import Tables
+from tidemark.catalog import CATALOG, DELETED
 from tidemark.functions import classify, codes, keys, values
 from tidemark.operators import (
     assemble,
@@ -895,6 +897,44 @@ def cascade_survivors(t: Tables) -> DataFrame:
     return rows
 
 
+def _catalog(t: Tables) -> dict[str, DataFrame]:
+    tables = {}
+    for name, parts in CATALOG.items():
+        rows = [t.source(source).selectExpr(*_expressions(columns)) for source, columns in parts]
+        tables[name] = rows[0]
+        for more in rows[1:]:
+            # Named, since unnamed columns of one origin make the optimizer fail.
+            tables[name] = tables[name].union(more.toDF(*rows[0].columns))
+    return tables
+
+
+def _expressions(columns: str) -> list[str]:
+    return [c.strip() for c in re.split(r",(?![^(]*\))", columns)]
+
+
+def _deleted_rows(t: Tables, name: str) -> DataFrame:
+    """Rows of a catalog table that the change feed reports as deleted."""
+    source, columns, which = DELETED[name]
+    rows = t.source(source).filter(which).selectExpr(*_expressions(columns))
+    changes = rows.select(F.lit("DELETE").alias("op"), F.lit(1).alias("commit_epoch"), F.struct("*").alias("pre"))
+    return feeds.subscribe(changes, ["DELETE"], rows.columns, "pre")
+
+
+@query
+def cascade_catalog(t: Tables) -> DataFrame:
+    """The rule table of the catalog cleaner, fed by deletes of four tables."""
+    tables = _catalog(t)
+    seeds = {name: _deleted_rows(t, name) for name in DELETED}
+    gone = cascade.cascade(tables, cascade.CATALOG_KEYS, cascade.CATALOG_RULES, seeds)
+    rows = None
+    for name in CATALOG:
+        if name in gone:
+            key = F.concat_ws("-", *[F.col(c).cast("string") for c in cascade.CATALOG_KEYS[name]])
+            one = gone[name].select(F.lit(name).alias("table_name"), key.alias("deleted_key")).distinct()
+            rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 # --- retention -------------------------------------------------------------
 
 
