@@ -7,10 +7,10 @@ their signatures first and on their whole sets after that, and links become
 components by alternating large-star and small-star.
 
 A bucket may hold a third of all classes. Up to a few members all their pairs are
-candidates. In a larger one all members meet one representative; what then still
-is of another component than most members meets all members in blocks, which
-compare signatures inside a task and hand on only pairs that may link. So no link
-between components is missed, and no bucket's pairs are ever written out.
+candidates. In a larger one members meet its first; what then still is of another
+component than most members meets all members in blocks, which compare signatures
+and sets inside a task and hand on what joins two components. So no link between
+components is missed, and no bucket's pairs are ever written out.
 """
 
 from __future__ import annotations
@@ -37,6 +37,10 @@ BANDS, ROWS = 40, 7
 DEVIATIONS = 5
 # Buckets up to this size have their pairs listed; members of a block of a larger one.
 SMALL, BLOCK = 8, 1024
+# Leads of large buckets that a class is held against first.
+LEADS = 3
+# Shingles of a block's members, on either side; a longer set stands alone.
+BLOCK_SHINGLES = 1 << 19
 # Rounds that verify one candidate a class; the next takes all that are left.
 PICKY_ROUNDS = 3
 # Shingles hashed at once, so that they stay in the processor's cache.
@@ -140,7 +144,10 @@ def _lengths(n: Column, m: Column, similar: int) -> Column:
 
 
 def first_pairs(members: DataFrame, similar: int) -> DataFrame:
-    """a, b: all pairs of small buckets, and of larger ones each member with the first."""
+    """a, b: all pairs of small buckets; of larger ones each member with the leads it meets most.
+
+    What that leaves out, `block_pairs` finds.
+    """
     few = members.filter(F.col("size") <= SMALL).groupBy("bucket").agg(
         F.sort_array(F.collect_list(F.struct("_class", "n"))).alias("all")
     )
@@ -155,7 +162,10 @@ def first_pairs(members: DataFrame, similar: int) -> DataFrame:
     )
     many = members.filter((F.col("size") > SMALL) & (F.col("_class") != F.col("lead._class")))
     many = many.filter(_lengths(F.col("n"), F.col("lead.n"), similar))
-    star = many.select(F.col("lead._class").alias("a"), F.col("_class").alias("b"))
+    # The leads that a member meets in most of its buckets, at most one a band, are its likeliest links.
+    met = many.groupBy("_class", F.col("lead._class").alias("a")).agg(F.count(F.lit(1)).alias("times"))
+    leads = met.groupBy("_class").agg(F.sort_array(F.collect_list(F.struct((-F.col("times")).alias("less"), "a"))).alias("all"))
+    star = leads.select(F.explode(F.slice(F.col("all.a"), 1, LEADS)).alias("a"), F.col("_class").alias("b"))
     return few.select(F.explode(pairs).alias("p")).select("p.a", "p.b").union(star).distinct()
 
 
@@ -177,56 +187,77 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(len(raw), -1 if raw else 1)
 
 
-def block_pairs(members: DataFrame, named: DataFrame, labels: DataFrame, similar: int, least: int) -> DataFrame:
-    """a, b, agree: pairs of large buckets that have different labels and may link.
+def block_pairs(members: DataFrame, named: DataFrame, labels: DataFrame, sets: Sets, similar: int, least: int) -> DataFrame:
+    """a, b, agree: for each class the likeliest links to other components in its large buckets.
 
     Members whose label is not that of most of the bucket meet all members, in
-    blocks of about BLOCK by BLOCK rows. A task compares the signatures of a
-    block; pairs of one label, the bulk of a group of near copies, meet nowhere.
+    blocks of a bounded size. A task compares the signatures of a block, then the
+    sets of pairs that may link (as 32-bit hashes, which can only add links), and
+    hands on at most two links of a member to any other label: one joins the
+    components, so the rest are not needed. Pairs of one label, the bulk of a
+    group of near copies, meet nowhere.
     """
     held = labels.select(F.col("node").alias("_class"), F.col("component").alias("label"))
-    large = members.filter(F.col("size") > SMALL).select("bucket", "_class")
+    large = members.filter(F.col("size") > SMALL).select("bucket", "_class", "n")
     large = large.join(held, "_class", "left").withColumn("label", F.coalesce("label", "_class"))
-    each = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
+    each = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
     counts = each.groupBy("bucket").agg(
-        F.sum("c").alias("size"), F.max(F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("kinds")
+        F.sum("c").alias("size"),
+        F.sum("n").alias("total"),
+        F.max(F.struct("c", "label", "n")).alias("most"),
+        F.count(F.lit(1)).alias("kinds"),
     )
+    cells = lambda c, n: F.ceil(F.greatest(c / BLOCK, n / BLOCK_SHINGLES)).cast("int")
     open_ = counts.filter("kinds > 1").select(
         "bucket",
         F.col("most.label").alias("most"),
-        F.ceil((F.col("size") - F.col("most.c")) / BLOCK).cast("int").alias("down"),
-        F.ceil(F.col("size") / BLOCK).cast("int").alias("across"),
+        cells(F.col("size") - F.col("most.c"), F.col("total") - F.col("most.n")).alias("down"),
+        cells(F.col("size"), F.col("total")).alias("across"),
     )
-    rows = large.join(open_, "bucket").join(named.select("_class", "n", "signature"), "_class")
-    rows = materialize(rows, "open")
+    rows = materialize(large.join(open_, "bucket"), "open")
+    if rows.isEmpty():
+        return rows.sparkSession.createDataFrame([], "a long, b long, agree int")
+    whole = sets.of(rows.select("_class").distinct())
+    cut = F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int"))
+    profile = materialize(named.select("_class", "signature").join(whole.select("_class", cut.alias("cut")), "_class"), "asked")
     spread = lambda n: F.pmod(F.xxhash64("_class"), n.cast("long")).cast("int")
     count = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     down, across = F.col("down"), F.col("across")
-    cells = ["bucket", "i", "j", "asks", "_class", "label", "n", "signature"]
+    columns = ["bucket", "i", "j", "asks", "_class", "label", "n", "signature", "cut"]
     asks = rows.filter(F.col("label") != F.col("most"))
     asks = asks.withColumns({"i": spread(down), "asks": F.lit(True)}).withColumn("j", count(across))
     rest = rows.withColumns({"j": spread(across), "asks": F.lit(False)}).withColumn("i", count(down))
+    both = asks.select(columns[:-2]).union(rest.select(columns[:-2])).join(profile, "_class").select(columns)
 
     def compare(table: pa.Table) -> pa.Table:
         flag = np.array(table.column("asks").to_pylist(), dtype=bool)
         ids = table.column("_class").to_numpy()
         marks, n = table.column("label").to_numpy(), table.column("n").to_numpy()
         signs = _matrix(table.column("signature"))
+        cuts = table.column("cut").combine_chunks()
+        ends, values = cuts.offsets.to_numpy(), cuts.values.to_numpy()
         left, right = np.flatnonzero(flag), np.flatnonzero(~flag)
         found: list[tuple[int, int, int]] = []
         for i in left.tolist():
             may = right[marks[right] != marks[i]]
-            small, large_ = np.minimum(n[may], n[i]), np.maximum(n[may], n[i])
-            may = may[small * 100 >= large_ * similar]
+            shorter, longer = np.minimum(n[may], n[i]), np.maximum(n[may], n[i])
+            may = may[shorter * 100 >= longer * similar]
             agree = (signs[may] == signs[i]).sum(axis=1)
-            for j, c in zip(may[agree >= least].tolist(), agree[agree >= least].tolist()):
-                found.append((min(ids[i], ids[j]), max(ids[i], ids[j]), c))
+            order = np.argsort(-agree, kind="stable")[: int((agree >= least).sum())]
+            own, taken = np.sort(values[ends[i] : ends[i + 1]]), {}
+            for j, c in zip(may[order].tolist(), agree[order].tolist()):
+                if taken.get(marks[j], 0) < 2:
+                    other = values[ends[j] : ends[j + 1]]
+                    at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                    common = int((own[at] == other).sum())
+                    if common * 100 >= (int(n[i]) + int(n[j]) - common) * similar:
+                        taken[marks[j]] = taken.get(marks[j], 0) + 1
+                        found.append((min(ids[i], ids[j]), max(ids[i], ids[j]), c))
         a, b, c = zip(*found) if found else ((), (), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "agree": pa.array(c, pa.int32())})
 
     ship(named.sparkSession)
-    met = asks.select(cells).union(rest.select(cells)).groupBy("bucket", "i", "j")
-    return met.applyInArrow(compare, "a long, b long, agree int").distinct()
+    return both.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long, agree int").distinct()
 
 
 class Sets:
@@ -335,7 +366,7 @@ def minhash_components(
     least = least_agreement(similar, bands * rows)
     sets = Sets(df, named, key, text, k)
     labels, links = _linked(scored(first_pairs(members, similar), named, least), None, sets, similar)
-    more = materialize(block_pairs(members, named, labels, similar, least), "block-pairs")
+    more = materialize(block_pairs(members, named, labels, sets, similar, least), "block-pairs")
     if not more.isEmpty():
         labels, links = _linked(more, links, sets, similar)
     grouped = named.select("node", "_first", "_class").join(
