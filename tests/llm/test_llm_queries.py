@@ -42,3 +42,24 @@ OTHER_ROWS = {"op11_whitening", "op12_spelling"}
 def test_rows_for_every_document(spark, name):
     table = "pages" if name == "op9_warc" else "documents"
     assert QUERIES[name](spark, DATA).count() == spark.read.parquet(f"{DATA}/{table}.parquet").count()
+
+
+def test_minhash_query_against_brute_force(spark):
+    from tests.llm.test_minhash import expected
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    assert Counter(map(tuple, QUERIES["op13_minhash"](spark, DATA).collect())) == expected(rows)
+
+
+def test_spelling_query_against_brute_force(spark):
+    from tests.llm.test_spelling import brute, result
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    assert result(QUERIES["op12_spelling"](spark, DATA)) == brute(rows)
+
+
+def test_whitening_query_against_brute_force(spark):
+    from tests.llm.test_whitening import check
+
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").collect()]
+    assert check(QUERIES["op11_whitening"](spark, DATA).collect(), rows, 64) == 32
