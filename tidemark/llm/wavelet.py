@@ -10,6 +10,7 @@ occurrence, without the plain ids.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -192,7 +193,7 @@ def shard_bytes(keys: list[int | None], sequences: list[np.ndarray]) -> bytes:
 
 @cache
 def tokenizer_table(path: str) -> SliceTable:
-    """Slices to ids by the tokenizers library; special strings are ordinary text."""
+    """Slices to ids by the tokenizers library, which sees no added token in them."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
@@ -206,6 +207,32 @@ def tokenizer_table(path: str) -> SliceTable:
     return SliceTable(encode)
 
 
+@cache
+def added_tokens(path: str) -> dict[str, int]:
+    """The file's added tokens, which the library finds in a text before all else."""
+    from tokenizers import Tokenizer
+
+    return {token.content: i for i, token in Tokenizer.from_file(path).get_added_tokens_decoder().items()}
+
+
+def whole_ids(table: SliceTable, added: dict[str, int], texts: list[str]) -> Iterator[np.ndarray]:
+    """Ids of each text: its added tokens, and the encoded text between them.
+
+    The longer of two added tokens at one place is taken.
+    """
+    if not added:
+        yield from encode_texts(table, texts)
+        return
+    marks = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+    parts = [marks.split(t) for t in texts]
+    between = encode_texts(table, [p for cut in parts for p in cut[::2]])
+    for cut in parts:
+        ids = [next(between)]
+        for mark in cut[1::2]:
+            ids += [np.array([added[mark]], dtype="<u4"), next(between)]
+        yield np.concatenate(ids) if len(ids) > 1 else ids[0]
+
+
 def write_shards(
     df: DataFrame,
     key: str = "doc_id",
@@ -223,7 +250,7 @@ def write_shards(
     path = path or public_tokenizers.path(VOCABULARY)
 
     def work(batches) -> Iterator[pa.RecordBatch]:
-        table = tokenizer_table(path)
+        table, added = tokenizer_table(path), added_tokens(path)
         number = TaskContext.get().partitionId() << 32
         keys, sequences, held = [], [], 0
 
@@ -240,7 +267,7 @@ def write_shards(
 
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, ids in zip(batch.column(0).to_pylist(), encode_texts(table, texts)):
+            for doc, ids in zip(batch.column(0).to_pylist(), whole_ids(table, added, texts)):
                 keys.append(doc)
                 sequences.append(np.append(ids, np.uint32(end)))
                 held += len(ids) + 1
