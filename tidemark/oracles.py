@@ -1359,6 +1359,8 @@ for streamed, whole in (
     ("stream_provenance", "fold_provenance"),
     ("stream_quarantine", "quarantine"),
     ("stream_retention", "retention_buffer"),
+    ("stream_retention_log", "retention_log"),
+    ("stream_bootstrap", "bootstrap_dedup"),
 ):
     ORACLES[streamed] = ORACLES[whole]
 oracle(

@@ -315,7 +315,7 @@ def provenance_ops(good: DataFrame) -> DataFrame:
 
 def acknowledged(good: DataFrame) -> DataFrame:
     """Every processed log row, applied or skipped, with its companion."""
-    return good.select(*PROVENANCE_KEY, companion_key().alias("companion"))
+    return good.select("commit_epoch", *PROVENANCE_KEY, companion_key().alias("companion"))
 
 
 def with_values(ops: DataFrame) -> DataFrame:

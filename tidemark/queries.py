@@ -30,10 +30,13 @@ from tidemark.operators import (
 from tidemark.plans import cascade, mutations, provenance, rebuild
 from tidemark.session import materialize, shared_root
 from tidemark.sources import feeds, schemas
+from tidemark.streaming.bootstrap import Bootstrap
 from tidemark.streaming.documents import StreamedDocuments
 from tidemark.streaming.pipeline import EpochBarrier, Outputs, drain
+from tidemark.streaming.pruning import PrunedBuffer, PrunedLog
 from tidemark.streaming.viewable import ViewableBarrier
 
+Pruned = Callable[[DataFrame, int], None]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -192,13 +195,17 @@ def feed_order_app(t: Tables) -> DataFrame:
     )
 
 
+def _captured(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The feed as a snapshot and as live changes, a part of it in both."""
+    feed = t.feed.select("event_id", "commit_epoch", "k")
+    snapshot = feed.filter(F.col("k") < 70).withColumn("captured", F.lit("snapshot"))
+    return snapshot, feed.filter(F.col("k") >= 30).withColumn("captured", F.lit("live"))
+
+
 @query
 def bootstrap_dedup(t: Tables) -> DataFrame:
     """O7, O12, S11."""
-    feed = t.feed.select("event_id", "commit_epoch", "k")
-    snapshot = feed.filter(F.col("k") < 70).withColumn("captured", F.lit("snapshot"))
-    live = feed.filter(F.col("k") >= 30).withColumn("captured", F.lit("live"))
-    return ordering.bootstrap(snapshot, live, ["event_id"])
+    return ordering.bootstrap(*_captured(t), ["event_id"])
 
 
 @query
@@ -1095,11 +1102,11 @@ def stream_apps(t: Tables) -> DataFrame:
     return _app_columns(docs)
 
 
-def _provenance_stream(t: Tables) -> tuple[DataFrame, Outputs]:
+def _provenance_stream(t: Tables, pruned: Pruned | None = None) -> tuple[DataFrame, Outputs]:
     """The provenance log as a stream: its documents, quarantine and acknowledgements.
 
     Inodes found viewable are kept across batches, so the documents are those of
-    one fold over the whole log.
+    one fold over the whole log. `pruned` gets the acknowledgements of each batch.
     """
     stream, folder = _stream(t, t.provenance, ["commit_epoch", "dataset_i_id", "io_logical_time"])
     barrier = ViewableBarrier(t.spark, f"{folder}/open", t.provenance_inodes)
@@ -1117,6 +1124,7 @@ def _provenance_stream(t: Tables) -> tuple[DataFrame, Outputs]:
         f"{folder}/out",
         problems=lambda rows: parted(rows)[1].select("io_logical_time", "inode_operation", "problem"),
         acked=lambda rows: provenance.acknowledged(parted(rows)[0]),
+        prune=pruned,
     )
     docs = drain(
         stream,
@@ -1145,7 +1153,36 @@ def stream_quarantine(t: Tables) -> DataFrame:
 
 @query
 def stream_retention(t: Tables) -> DataFrame:
-    """X4, K2-K4 after a stream: the buffer without the companions of applied changes."""
-    _, outputs = _provenance_stream(t)
-    left = retention.remaining_buffer(t.xattr_buffer, outputs.read(t.spark, "acked"))
-    return _buffer_columns(left)
+    """X4, K2 in a stream: the buffer that each batch pruned; equal to `retention_buffer`."""
+    buffer = PrunedBuffer(t.spark, f"{shared_root(t.spark)}/buffer-{uuid4().hex}", t.xattr_buffer.schema)
+    buffer.add(t.xattr_buffer, 0)
+    _provenance_stream(t, buffer.prune)
+    return _buffer_columns(buffer.parts())
+
+
+@query
+def stream_retention_log(t: Tables) -> DataFrame:
+    """X4, K3, K4 in a stream: the log that each batch pruned; equal to `retention_log`."""
+    path = f"{shared_root(t.spark)}/log-{uuid4().hex}"
+    log = PrunedLog(t.spark, path, t.provenance.schema, keys.PROVENANCE_KEY)
+    log.add(t.provenance)
+    _provenance_stream(t, lambda acked, _: log.prune(acked))
+    return log.rows().select("io_logical_time", "inode_operation")
+
+
+@query
+def stream_bootstrap(t: Tables) -> DataFrame:
+    """O7 as streams: rows deferred until the snapshot ends; equal to `bootstrap_dedup`."""
+    folder = f"{shared_root(t.spark)}/bootstrap-{uuid4().hex}"
+    captured = dict(zip(("snapshot", "live"), _captured(t)))
+    for name, rows in captured.items():
+        rows.repartitionByRange(4, "commit_epoch", "event_id").write.parquet(f"{folder}/{name}")
+
+    def feed(session: SparkSession, name: str, files: int) -> DataFrame:
+        source = session.readStream.schema(captured[name].schema).option("maxFilesPerTrigger", files)
+        return source.parquet(f"{folder}/{name}")
+
+    # The live feed runs ahead of the snapshot.
+    start = Bootstrap(t.spark, f"{folder}/state", ["event_id"], lambda s: (feed(s, "snapshot", 1), feed(s, "live", 2)))
+    start.follow().awaitTermination()
+    return start.rows()

@@ -15,6 +15,7 @@ from tidemark.streaming.documents import StreamedDocuments
 from tidemark.streaming.files import Files
 
 OPEN = re.compile(r"open-(\d+)$")
+ACKED = re.compile(r"batch=(\d+)$")
 Rows = Callable[[DataFrame], DataFrame]
 
 
@@ -65,14 +66,24 @@ class Outputs:
     """What a stream writes besides documents, a folder per batch.
 
     `problems` picks the rows that cannot be applied (X5); `acked` the keys of
-    those that were, after which the log and its companions are pruned (X4).
+    those that were. `prune` gets the acknowledgements of a batch once a later
+    one runs, when no repetition can ask for the pruned rows again (X4).
     """
 
     path: str
     problems: Rows | None = None
     acked: Rows | None = None
+    prune: Callable[[DataFrame, int], None] | None = None
+
+    def settle(self, spark: SparkSession, before: int) -> None:
+        """Prune what the last batch before this one acknowledged."""
+        found = [ACKED.search(n) for n in Files(spark, f"{self.path}/acked").names()]
+        last = max((int(m[1]) for m in found if m and int(m[1]) < before), default=None)
+        if self.prune and last is not None:
+            self.prune(spark.read.parquet(f"{self.path}/acked/batch={last}"), last)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
+        self.settle(rows.sparkSession, batch_id)
         for name in ("problems", "acked"):
             pick = getattr(self, name)
             if pick is not None:
@@ -138,5 +149,7 @@ def drain(
             store.add(to_ops(rest), batch_id)
             if outputs:
                 outputs.write(rest, batch_id)
+    if outputs:
+        outputs.settle(feed.sparkSession, store.last_batch() + 1)
     store.follow().awaitTermination()
     return store.documents()
