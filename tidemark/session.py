@@ -6,9 +6,12 @@ import os
 import tempfile
 import uuid
 from functools import cache
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.streaming.files import Files
+
 SETTINGS = {
     # Timestamps are rendered and bucketed in UTC everywhere.
     "spark.sql.session.timeZone": "UTC",
@@ -63,6 +66,10 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Folders of the tables that `materialize` wrote, for `discard`.
+_WRITTEN: WeakKeyDictionary[DataFrame, tuple[str, str]] = WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write `df` once to the shared folder and continue from the written files.
 
@@ -70,9 +77,28 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     that must not change when an executor is lost and its tasks run again.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    root, name = shared_root(spark), f"{label}-{uuid.uuid4().hex}"
+    path = f"{root}/{name}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[table] = root, name
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the folders of written tables that nothing reads any more.
+
+    Takes what `materialize` returned; other tables are left alone. What was
+    made from them must be written by now. Spark removes the shuffle files of a
+    plan once the driver's collector finds that nothing refers to it, which on
+    an idle driver may take half an hour; it is asked to look now.
+    """
+    for table in tables:
+        if table in _WRITTEN:
+            root, name = _WRITTEN.pop(table)
+            Files(table.sparkSession, root).remove(name)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
