@@ -26,6 +26,11 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def plain_key(key: str) -> Column:
+    """A key as a string that is never null, so that nulls join like other keys."""
+    return F.coalesce(F.concat(F.lit("a"), F.col(key).cast("string")), F.lit("b"))
+
+
 def packed(df: DataFrame, columns: list[str] | None = None) -> Column:
     """The named columns as one struct, so that no name of theirs can clash."""
     return F.struct(*[F.col(f"`{c}`") for c in (df.columns if columns is None else columns)])

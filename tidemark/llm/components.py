@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -38,19 +38,20 @@ def components(edges: DataFrame) -> DataFrame:
     its smallest node.
 
     The two operations alternate until nothing changes, a number of rounds that
-    grows with the logarithm of the nodes. Each round is written; only a count
-    and a checksum reach the driver.
+    grows with the logarithm of the nodes. Each round is written and the one
+    before it removed; only a count and a checksum reach the driver.
     """
     now = edges.filter(F.col("a") != F.col("b")).select("a", "b")
     state = None
     while True:
-        now = materialize(_small_star(_large_star(now)), "stars")
+        before, now = now, materialize(_small_star(_large_star(now)), "stars")
         mark = tuple(
             now.agg(
                 F.count(F.lit(1)),
                 F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
             ).first()
         )
+        discard(before)
         if mark == state:
             break
         state = mark

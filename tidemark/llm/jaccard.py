@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrays import mix, shingle_sets
 from tidemark.llm.common import arrow_map
 from tidemark.llm.components import components
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 # Contract of op10: three words, 90 of 100.
 WORDS, SIMILAR = 3, 90
@@ -155,7 +155,7 @@ def prefixes(
 
 
 def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The members of small buckets, by row, and those of large ones, by class.
+    """The members of all buckets, by row, and those of large ones, by class.
 
     Most prefix tokens are unique. One shuffle by token, with a row number in
     place of the document, counts them and drops those; the tokens of many
@@ -166,22 +166,24 @@ def postings(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     posts = sets.select("_row", "n", F.posexplode("rare").alias("pos", "token"))
     size = F.count(F.lit(1)).over(Window.partitionBy("token"))
     live = materialize(posts.withColumn("_size", size).filter("_size > 1"), "live")
-    few = live.filter(F.col("_size") <= SMALL)
     many = live.filter(F.col("_size") > SMALL).join(sets.select("_row", "node"), "_row")
     hot = sets.select("node", "n", F.size("rare").alias("_at"), F.posexplode("hot").alias("pos", "token"))
     member = ["token", "node", "n", "pos"]
     many = many.select(member).union(hot.withColumn("pos", F.expr("_at + pos")).select(member)).distinct()
     many = materialize(many, "members")
     sizes = many.groupBy("token").agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
-    return few, materialize(many.join(sizes, "token"), "buckets")
+    buckets = materialize(many.join(sizes, "token"), "buckets")
+    discard(many)
+    return live, buckets
 
 
-def bucket_pairs(few: DataFrame, profiles: DataFrame, similar: int) -> DataFrame:
+def bucket_pairs(live: DataFrame, profiles: DataFrame, similar: int) -> DataFrame:
     """Pairs of classes that share a small bucket and may be similar.
 
     At most SMALL rows meet in a bucket, whose pairs are made in one row.
     """
     member = F.struct("_row", "n", "pos")
+    few = live.filter(F.col("_size") <= SMALL)
     rows = few.groupBy("token").agg(F.sort_array(F.collect_list(member)).alias("_all"))
     pairs = F.flatten(
         F.transform(
@@ -321,7 +323,9 @@ class _Verifier:
             # Tokens that are alike in 32 bits count once; what that hides is added.
             hidden = F.size(a) - F.size(F.array_distinct(a))
             both = both.filter(F.size(F.array_intersect(a, b)) + hidden >= least)
-        return materialize(both.select("a", "b"), "candidates")
+        candidates = materialize(both.select("a", "b"), "candidates")
+        discard(pairs, orders)
+        return candidates
 
     def _sets(self, nodes: DataFrame) -> DataFrame:
         """Whole sets of one document for each of the classes.
@@ -360,7 +364,7 @@ class _Verifier:
         return materialize(sets, "sets")
 
     def links(self, candidates: DataFrame) -> DataFrame:
-        """Candidates whose similarity holds, in whole numbers."""
+        """Candidates whose similarity holds, in whole numbers; the candidates are used up."""
         nodes = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
         sets = self._sets(nodes)
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_a"))
@@ -368,20 +372,25 @@ class _Verifier:
         both = candidates.join(left, "a").join(right, "b")
         both = both.withColumn("_in", F.size(F.array_intersect("_a", "_b")).cast("long"))
         union = F.size("_a") + F.size("_b") - F.col("_in")
-        return both.filter(F.col("_in") * 100 >= union * self.similar).select("a", "b").distinct()
+        links = both.filter(F.col("_in") * 100 >= union * self.similar).select("a", "b").distinct()
+        links = materialize(links, "links")
+        discard(sets, candidates)
+        return links
 
 
 def linked_classes(
     df: DataFrame, profiles: DataFrame, key: str, text: str, k: int, similar: int
 ) -> DataFrame:
     """(node, component) of all classes that are linked with another one."""
-    few, many = postings(profiles)
-    pairs = bucket_pairs(few, profiles, similar)
+    live, many = postings(profiles)
+    pairs = bucket_pairs(live, profiles, similar)
     first = many.withColumn("label", F.col("node"))
     pairs = pairs.union(_star_pairs(first, similar, 0, FIRST_PIVOTS))
 
     check = _Verifier(df, profiles, key, text, k, similar)
-    links = materialize(check.links(check.filtered(pairs)), "links")
+    candidates = check.filtered(pairs)
+    discard(live)
+    links = check.links(candidates)
     groups = materialize(components(links), "components")
     turn, before = 1, None
     while True:
@@ -409,8 +418,10 @@ def linked_classes(
         else:
             pairs = _star_pairs(members, similar, turn, PIVOTS)
         more = check.links(check.filtered(pairs))
-        links = materialize(links.union(more).distinct(), "links")
+        known, found = links, groups
+        links = materialize(known.union(more).distinct(), "links")
         groups = materialize(components(links), "components")
+        discard(known, more, found, members, open_buckets)
         if last:
             return groups
         turn, before = turn + 1, cross
@@ -423,6 +434,9 @@ def _answered(
     profiles = prefixes(df, key, text, k, similar, bits)
     groups = linked_classes(df, profiles, key, text, k, similar)
     own = F.struct("_id", "_hash")
+    # The prefixes are not needed any more.
+    whole, profiles = profiles, materialize(profiles.select("_id", "_hash", "n_shingles", "node"), "sets-of-rows")
+    discard(whole)
     classes = profiles.filter("n_shingles > 0").groupBy("node").agg(F.min(own).alias("_first"))
     named = classes.join(groups, "node", "left").withColumn("_group", F.coalesce("component", "node"))
     least = named.groupBy("_group").agg(F.min("_first").alias("_keep"))

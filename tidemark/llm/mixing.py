@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACES, packed, whole_text
+from tidemark.llm.common import SPACES, packed, plain_key, whole_text
 from tidemark.operators.scans import commit_position
 from tidemark.session import materialize
 
@@ -93,45 +93,34 @@ def _crossing(cells: DataFrame, cell: str) -> DataFrame:
     )
 
 
-def mix(
+def _drawn(
     df: DataFrame,
     labels: DataFrame,
-    key: str = "doc_id",
-    source: str = "source",
-    text: str = "text",
-    weights: Sequence[int] = WEIGHTS,
-    budget: float = BUDGET,
-    epochs: int = EPOCHS,
-    seed: str = SEED,
-    carry: list[str] | None = None,
+    key: str,
+    source: str,
+    text: str,
+    weights: Sequence[int],
+    budget: float,
+    epochs: int,
+    seed: str,
 ) -> DataFrame:
-    """One row per input row: key, size, source_size, target, repeats, taken.
-
-    `labels` has the key and `quality`, which weighs the sampling; of several
-    labels of one key the best counts. Whole documents are taken. After the
-    complete epochs, a document is taken once more if at least half of it lies
-    within what is left of the target in the order of its source; equal keys
-    go by id, then by place in the input. So a source misses its target by at
-    most half a document. Null sources are one source, the last; null texts
-    have size 0; repeated rows are documents of their own. Empty tables give
-    no rows. `carry` names columns returned as the struct `_doc`.
-    """
+    """Per row: _key, _source, _raw (hash of the text), size, source_size, target,
+    _epochs, and _again: whether it is taken once more."""
     given = df.select(
         F.col(key).alias("_key"),
         F.monotonically_increasing_id().alias("_row"),
         # Code-point order of this string is that of the sources, null last.
-        F.coalesce(F.concat(F.lit("a"), F.col(source).cast("string")), F.lit("b")).alias("_source"),
+        plain_key(f"`{source}`").alias("_source"),
+        F.xxhash64(F.col(text)).alias("_raw"),
         n_words(text).alias("size"),
-        *([packed(df, carry).alias("_doc")] if carry is not None else []),
     )
     given = materialize(given, "mix")
     marks = labels.groupBy(F.col(key).alias("_key")).agg(F.max("quality").alias("quality"))
     drawn = exponential_key("_key", label_weight(), seed)
     spot = (F.lit(1.0) - F.exp(-F.col("_draw"))) * CELLS
     rows = (
-        given.select("_key", "_row", "_source", "size")
-        .join(marks, "_key", "left")
-        .select("_key", "_row", "_source", "size", drawn.alias("_draw"))
+        given.join(marks, "_key", "left")
+        .select("_key", "_row", "_source", "_raw", "size", drawn.alias("_draw"))
         .withColumn("_cell", F.floor(spot).cast("int"))
         .withColumn("_fine", F.floor((spot - F.col("_cell")) * CELLS).cast("int"))
     )
@@ -180,9 +169,34 @@ def mix(
     )
     within = F.col("_last").isNotNull() & (place <= F.col("_last"))
     again = F.coalesce((F.col("_rest") > 0) & (before | within), F.lit(False))
-    repeats = F.col("_epochs") + again.cast("int")
-    chosen = rows.join(limits, "_source").select(
-        "_row",
+    picked = ["_key", "_source", "_raw", "size", "source_size", "target", "_epochs"]
+    return rows.join(limits, "_source").select(*picked, again.cast("int").alias("_again"))
+
+
+def mix(
+    df: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    weights: Sequence[int] = WEIGHTS,
+    budget: float = BUDGET,
+    epochs: int = EPOCHS,
+    seed: str = SEED,
+) -> DataFrame:
+    """One row per input row: key, size, source_size, target, repeats, taken.
+
+    `labels` has the key and `quality`, which weighs the sampling; of several
+    labels of one key the best counts. Whole documents are taken. After the
+    complete epochs, a document is taken once more if at least half of it lies
+    within what is left of the target in the order of its source; equal keys
+    go by id, then by place in the input. So a source misses its target by at
+    most half a document. Null sources are one source, the last; null texts
+    have size 0; repeated rows are documents of their own. Empty tables give
+    no rows. Other columns are ignored.
+    """
+    repeats = F.col("_epochs") + F.col("_again")
+    return _drawn(df, labels, key, source, text, weights, budget, epochs, seed).select(
         F.col("_key").alias(key),
         "size",
         "source_size",
@@ -190,12 +204,37 @@ def mix(
         repeats.alias("repeats"),
         (repeats * F.col("size")).cast("long").alias("taken"),
     )
-    if carry is not None:
-        chosen = chosen.join(given.select("_row", "_doc"), "_row")
-    return chosen.drop("_row")
 
 
-def mixed(df: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, input columns only."""
-    chosen = mix(df, labels, carry=df.columns, **options).filter("repeats > 0")
-    return chosen.withColumn("_time", F.explode(F.sequence(F.lit(1), "repeats"))).select("_doc.*")
+def mixed(
+    df: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    weights: Sequence[int] = WEIGHTS,
+    budget: float = BUDGET,
+    epochs: int = EPOCHS,
+    seed: str = SEED,
+) -> DataFrame:
+    """The mix itself: each document as often as it is taken, input columns only.
+
+    It is decided on keys and sizes; the documents are shuffled once. Of rows
+    with the same key, source and text as many are taken once more as the
+    order took, whichever of them these are.
+    """
+    own = ["_same", "_source", "_raw"]
+    drawn = _drawn(df, labels, key, source, text, weights, budget, epochs, seed)
+    times = drawn.select(plain_key("_key").alias("_same"), "_source", "_raw", "_epochs", "_again").groupBy(*own)
+    times = times.agg(F.max("_epochs").alias("_epochs"), F.sum("_again").alias("_more"))
+    times = materialize(times.filter("_epochs > 0 or _more > 0"), "times")
+    docs = df.select(
+        packed(df).alias("_doc"),
+        plain_key(f"`{key}`").alias("_same"),
+        plain_key(f"`{source}`").alias("_source"),
+        F.xxhash64(F.col(text)).alias("_raw"),
+    )
+    nth = F.row_number().over(Window.partitionBy(*own).orderBy(*own))
+    met = docs.join(times, own).withColumn("_nth", nth)
+    met = met.withColumn("_times", F.col("_epochs") + (F.col("_nth") <= F.col("_more")).cast("int"))
+    return met.filter("_times > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select("_doc.*")
