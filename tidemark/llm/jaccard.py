@@ -16,6 +16,7 @@ compared in the end, so no link between components is lost.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,9 @@ from tidemark.session import discard, materialize
 # Contract of op10: three words, 90 of 100.
 WORDS, SIMILAR = 3, 90
 # Counters for the order by frequency, as a power of two, in blocks.
-ORDER_BITS, BLOCK_BITS = 20, 14
+ORDER_BITS, BLOCK_BITS = 24, 14
+# A task's counter stops here; the tasks' counts are added in 64 bits.
+TASK_COUNT = 1 << 15
 # Salts of the other orders.
 ORDERS = (11, 13)
 # Prefix tokens that two sets must share under each of the other orders.
@@ -48,51 +51,58 @@ FIRST_PIVOTS, PIVOTS = 2, 8
 PAIRS_PER_MEMBER = 64
 
 
-def shingle_counts(df: DataFrame, text: str, k: int, bits: int = ORDER_BITS) -> np.ndarray:
-    """Document frequencies of all shingles, added up in 2**bits hashed counters.
+def level(count):
+    """A document frequency as one byte, eight steps to a doubling."""
+    return np.minimum(np.round(np.log2(1.0 + count) * 8), 255).astype(np.uint8)
 
-    Tasks send whole blocks of counters; these are added as they stream in, so
-    what reaches the driver has a fixed size, whatever the corpus.
+
+def shingle_levels(df: DataFrame, text: str, k: int, bits: int = ORDER_BITS) -> tuple[np.ndarray, int]:
+    """Document frequencies of all shingles in 2**bits hashed counters, and their sum.
+
+    Tasks count in 16 bits and send the blocks they touched, deflated: most
+    counters of a block are zero or small. Blocks are added as they stream in
+    and leave as levels of one byte, so what reaches the driver has a fixed
+    size, whatever the corpus.
     """
     shift, width = np.uint64(64 - bits), min(BLOCK_BITS, bits)
 
     def count(batches):
-        totals = np.zeros(1 << bits, dtype=np.int64)
+        totals = np.zeros(1 << bits, dtype=np.uint16)
         for batch in batches:
             for s in shingle_sets(batch.column(0).to_pylist(), k):
-                np.add.at(totals, (s >> shift).astype(np.int64), 1)
-        if totals.any():
-            blocks = totals.reshape(-1, 1 << width)
-            used = np.flatnonzero(blocks.any(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(used, pa.int32()),
-                    pa.array([blocks[i].tobytes() for i in used], pa.binary()),
-                ],
-                names=["block", "counts"],
-            )
+                np.add.at(totals, (s >> shift).astype(np.int64), np.uint16(1))
+            # A batch of documents cannot count past what 16 bits hold above this.
+            np.minimum(totals, TASK_COUNT, out=totals)
+        blocks = totals.reshape(-1, 1 << width)
+        used = np.flatnonzero(blocks.any(axis=1))
+        if len(used):
+            raw = [zlib.compress(blocks[i].tobytes(), 1) for i in used]
+            columns = [pa.array(used, pa.int32()), pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "counts"])
 
     def add(batches):
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts = np.frombuffer(raw, dtype=np.int64)
-                totals[block] = totals[block] + counts if block in totals else counts
+                counts = np.frombuffer(zlib.decompress(raw), dtype=np.uint16)
+                if block not in totals:
+                    totals[block] = np.zeros(1 << width, dtype=np.int64)
+                totals[block] += counts
         if totals:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(totals), pa.int32()),
-                    pa.array([t.tobytes() for t in totals.values()], pa.binary()),
-                ],
-                names=["block", "counts"],
-            )
+            columns = [
+                pa.array(list(totals), pa.int32()),
+                pa.array([level(t).tobytes() for t in totals.values()], pa.binary()),
+                pa.array([int(t.sum()) for t in totals.values()], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "levels", "n"])
 
     parts = arrow_map(df.select(F.col(text).cast("string")), count, "block int, counts binary")
-    summed = arrow_map(parts.repartition("block"), add, "block int, counts binary")
-    out = np.zeros((1 << (bits - width), 1 << width), dtype=np.int64)
+    summed = arrow_map(parts.repartition("block"), add, "block int, levels binary, n long")
+    out, n = np.zeros((1 << (bits - width), 1 << width), dtype=np.uint8), 0
     for row in summed.collect():
-        out[row["block"]] += np.frombuffer(row["counts"], dtype=np.int64)
-    return out.reshape(-1)
+        out[row["block"]] = np.frombuffer(row["levels"], dtype=np.uint8)
+        n += row["n"]
+    return out.reshape(-1), n
 
 
 def prefix_length(n: int, similar: int, share: int = 1) -> int:
@@ -109,11 +119,9 @@ def prefixes(
     whether many documents have the token. `order0`, ... are the prefixes under
     the random orders, cut to 32 bits, which can only add candidates.
     """
-    counts = shingle_counts(df, text, k, bits)
-    # Saturating, so that it fits above 40 bits of hash in one sort key.
-    capped = np.minimum(counts, (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
-    many = min(2 * int(counts.mean()) + HOT, (1 << 24) - 1)
-    shared = df.sparkSession.sparkContext.broadcast(capped)
+    levels, total = shingle_levels(df, text, k, bits)
+    many = int(level(2 * (total >> bits) + HOT))
+    shared = df.sparkSession.sparkContext.broadcast(levels)
     shift = np.uint64(64 - bits)
     kind = df.schema[key].dataType.simpleString()
 
@@ -130,10 +138,12 @@ def prefixes(
                         out[name].append([])
                     continue
                 out["node"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                rank = order[(s >> shift).astype(np.int64)] | (mix(s, 7) >> np.uint64(24))
+                # The level in the upper byte, ties by a hash.
+                rank = order[(s >> shift).astype(np.int64)].astype(np.uint64) << np.uint64(56)
+                rank |= mix(s, 7) >> np.uint64(8)
                 # Stable over ascending hashes: a total order, the same everywhere.
                 first = np.argsort(rank, kind="stable")[: prefix_length(n, similar)]
-                hot = rank[first] >> np.uint64(40) >= many
+                hot = rank[first] >> np.uint64(56) >= many
                 out["rare"].append(s[first[~hot]].view(np.int64))
                 out["hot"].append(s[first[hot]].view(np.int64))
                 length = prefix_length(n, similar, SHARE)
