@@ -319,7 +319,9 @@ class _Verifier:
         pairs = materialize(pairs.distinct(), "pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         names = [f"order{i}" for i in range(len(ORDERS))]
-        orders = self.profiles.select("node", "n_shingles", *names).join(nodes, "node", "left_semi")
+        # Most classes are in no pair; a filter keeps their prefixes out of the shuffle.
+        orders = self.profiles.select("node", "n_shingles", *names)
+        orders = orders.filter(KeyFilter(nodes, ["node"]).may_hold()).join(nodes, "node", "left_semi")
         orders = orders.groupBy("node").agg(
             F.first("n_shingles").alias("n"), *[F.first(c).alias(c) for c in names]
         )
