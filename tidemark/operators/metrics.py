@@ -40,10 +40,9 @@ def _count(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
-def bulks(changes: DataFrame) -> DataFrame:
-    """One row per bulk with its durations and counts."""
-    counted = changes.groupBy("bulk_id").agg(
-        F.max("flush_id").alias("flush_id"),
+def bulk_figures() -> list[Column]:
+    """Aggregates over the changes of a bulk; partial ones can be merged."""
+    return [
         F.min("arrival_ms").alias("first_arrival_ms"),
         F.max("arrival_ms").alias("last_arrival_ms"),
         F.max("start_ms").alias("start_ms"),
@@ -59,8 +58,12 @@ def bulks(changes: DataFrame) -> DataFrame:
             for verb, kinds in (("added", ["add", "update"]), ("deleted", ["delete"]))
             for asset in ("inodes", "datasets", "projects")
         ],
-    )
-    return counted.withColumns(
+    ]
+
+
+def with_durations(bulk_rows: DataFrame) -> DataFrame:
+    """The five durations of each bulk."""
+    return bulk_rows.withColumns(
         {
             "batching_ms": F.col("last_arrival_ms") - F.col("first_arrival_ms"),
             "waiting_ms": F.col("start_ms") - F.col("last_arrival_ms"),
@@ -71,6 +74,12 @@ def bulks(changes: DataFrame) -> DataFrame:
     )
 
 
+def bulks(changes: DataFrame) -> DataFrame:
+    """One row per bulk with its durations and counts."""
+    flush = F.max("flush_id").alias("flush_id")
+    return with_durations(changes.groupBy("bulk_id").agg(flush, *bulk_figures()))
+
+
 def log_type_counts(changes: DataFrame) -> DataFrame:
     """Changes per bulk and log."""
     return changes.groupBy("bulk_id", "log_type").agg(F.count(F.lit(1)).alias("n"))

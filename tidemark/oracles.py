@@ -1361,6 +1361,8 @@ for streamed, whole in (
     ("stream_retention", "retention_buffer"),
     ("stream_retention_log", "retention_log"),
     ("stream_bootstrap", "bootstrap_dedup"),
+    ("stream_metrics", "metrics_minute"),
+    ("stream_metrics_hour", "metrics_hour"),
 ):
     ORACLES[streamed] = ORACLES[whole]
 oracle(
