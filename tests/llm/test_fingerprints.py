@@ -4,7 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tests.llm import cases
-from tidemark.llm.fingerprints import KMER, fingerprints, kmers, numbered, order_fingerprints, pieces
+from tidemark.llm.fingerprints import KMER, fingerprints, kmers, numbered, order_fingerprints, pieces, repeated
 
 
 def chain(spark, rows):
@@ -17,11 +17,13 @@ def chain(spark, rows):
 def test_edited_texts(spark):
     rows = cases.documents()
     order = chain(spark, rows)
+    times = Counter((r[0], r[1] or "") for r in rows)
     expected = Counter()
     for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
         lent = len(text) // 3
         new = text[: len(text) - lent] + after[:lent]
-        expected[(i, len(text), hashlib.sha256(new.encode()).hexdigest())] += 1
+        expected[(i, len(text), hashlib.sha256(new.encode()).hexdigest())] += times[i, text]
+    assert sum(expected.values()) == len(rows) > len(order)
     got = order_fingerprints(cases.frame(spark)).collect()
     assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == expected
 
@@ -40,6 +42,35 @@ def test_equal_texts_and_likeness(spark):
     assert long.near_edited > long.near_next
 
 
+def test_likeness_against_sketches_of_the_texts(spark):
+    rows = [r for r in cases.documents() if r[0] is not None]
+    order = chain(spark, rows)
+    texts = []
+    for (_, text), (_, after) in zip(order, order[1:] + order[:1]):
+        lent = len(text) // 3
+        texts.append((len(texts), text))
+        texts.append((len(texts), text[: len(text) - lent] + after[:lent]))
+    df = spark.createDataFrame(texts, "i long, t string")
+    sketch = {r.i: r.sketch for r in fingerprints(df, ["i"], "t").collect()}
+
+    def share(a, b):
+        return sum(x == y for x, y in zip(sketch[a], sketch[b])) / len(sketch[a])
+
+    expected = Counter()
+    times = Counter((r[0], r[1] or "") for r in rows)
+    for at, document in enumerate(order):
+        after = 2 * ((at + 1) % len(order))
+        near = share(2 * at, 2 * at + 1), share(2 * at, after)
+        expected[(document[0], len(document[1]), *near)] += times[document]
+    got = order_fingerprints(cases.frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_chars, r.near_edited, r.near_next) for r in got) == expected
+
+
+def test_rows_repeated_many_times(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 4096), ("c", 9001)], "k string, n long")
+    assert {r.k: r["count"] for r in repeated(df, "n").groupBy("k").count().collect()} == {"a": 1, "b": 4096, "c": 9001}
+
+
 def test_numbering_against_brute_force(spark):
     texts = ["a b a b a b a b a", "x y z", "one", "", "r " * 50 + "s r r r", cases.prose(5, 300)]
     df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")

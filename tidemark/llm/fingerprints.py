@@ -139,14 +139,16 @@ def as_text(sketch: Column) -> Column:
     return F.array_join(digits, "")
 
 
+# Rows made at once from one that stands for many.
+STEP = 4096
 # A document's identity without nulls, so that one shuffle serves all steps.
 IDENTITY = ["_null", "_id", "_hash"]
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """Each distinct document's identity with that of the one it lends to, and
-    the number of code points it lends: `_for_null`, `_for_id`, `_for_hash`, `_take`."""
-    ids = docs.groupBy(*IDENTITY).agg(F.max("_n").alias("_n"))
+    """Each distinct document's identity with that of the one it lends to, the number
+    of code points it lends, and its rows: `_for_null`, `_for_id`, `_for_hash`, `_take`, `_rows`."""
+    ids = docs.groupBy(*IDENTITY).agg(F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_rows"))
     turned = ids.withColumns({"_down": -F.col("_id"), "_turn": F.bitwise_not(F.col("_hash"))})
     placed = commit_position(turned, ["_null", "_down", "_turn"], "_place").drop("_down", "_turn")
     placed = materialize(placed, "places")
@@ -155,7 +157,14 @@ def neighbours(docs: DataFrame) -> DataFrame:
     wanted = placed.select(
         following.alias("_place"), *[F.col(c).alias(f"_for{c}") for c in IDENTITY], F.expr("_n div 3").alias("_take")
     )
-    return placed.join(wanted, "_place").select(*IDENTITY, *[f"_for{c}" for c in IDENTITY], "_take")
+    return placed.join(wanted, "_place").select(*IDENTITY, *[f"_for{c}" for c in IDENTITY], "_take", "_rows")
+
+
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Each row as often as `times` says, in steps, so that no array grows with it."""
+    steps = df.withColumn("_step", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {STEP})")))
+    inside = F.expr(f"sequence(1L, least({times} - _step * {STEP}, {STEP}))")
+    return steps.withColumn("_nth", F.explode(inside)).drop("_step", "_nth", times)
 
 
 def edited(docs: DataFrame, links: DataFrame) -> DataFrame:
@@ -180,13 +189,13 @@ def edited(docs: DataFrame, links: DataFrame) -> DataFrame:
 def order_fingerprints(
     df: DataFrame, key: str = "doc_id", text: str = "text", sketches: int = SKETCHES, k: int = KMER
 ) -> DataFrame:
-    """One row per distinct (key, text): both fingerprints and their likenesses.
+    """One row per input row: both fingerprints and their likenesses.
 
     Documents stand in descending order of their integer key, null last, equal
     keys by a hash of their text; the last is followed by the first. In the
     edited text the last n_chars div 3 code points give way to as many of the
     next document, or to all it has. Null is the empty text. Rows repeated in
-    full count once. Texts without words have the fingerprint of zeros and are
+    full are one document, which each of them gets the results of. Texts without words have the fingerprint of zeros and are
     alike. Other columns are ignored; an empty table gives no rows.
     """
     body = whole_text(text)
@@ -218,12 +227,14 @@ def order_fingerprints(
         F.max(F.when(F.col("_new"), F.col("sketch"))).alias("_edit"),
     )
     pairs = materialize(pairs, "fingerprints")
+    own = pairs.select(*IDENTITY, F.col("_own").alias("_next"))
     next_own = (
         links.select(*IDENTITY, *[f"_for{c}" for c in IDENTITY])
-        .join(pairs.select(*IDENTITY, F.col("_own").alias("_next")), IDENTITY)
+        .join(own, IDENTITY)
         .select(*[F.col(f"_for{c}").alias(c) for c in IDENTITY], "_next")
     )
-    return pairs.join(next_own, IDENTITY).select(
+    found = pairs.join(next_own, IDENTITY).join(links.select(*IDENTITY, "_rows"), IDENTITY)
+    return repeated(found, "_rows").select(
         F.when(~F.col("_null"), F.col("_id")).cast(df.schema[key].dataType).alias(key),
         F.col("_n").alias("n_chars"),
         F.lower(F.hex("_sha")).alias("edited_sha256"),
