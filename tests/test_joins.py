@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidemark.operators import joins, retention
 
@@ -72,3 +73,15 @@ def test_filter_reaches_the_scan(spark, tmp_path):
     df = joins.match_equal(spark.read.parquet(f"{tmp_path}/t"), searchable=1).select("id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(searchable,1)" in plan and "other" not in plan
+
+
+def test_existing_keys_are_read_once_for_a_union(spark):
+    """A part with a constant key would otherwise join all keys in one task."""
+    many = spark.range(1000).select(F.col("id"), F.lit("row").alias("kind"))
+    one = spark.range(1).select(F.lit(2).cast("long").alias("id"), F.lit("root").alias("kind"))
+    keys = spark.range(0, 1000, 2).union(spark.range(0, 10, 2))
+    kept = joins.keep_existing(many.union(one), keys, ["id"])
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Join " in line]) == 1
+    assert rows(kept) == sorted([*[(i, "row") for i in range(0, 1000, 2)], (2, "root")], key=repr)
+    assert kept.columns == ["id", "kind"]

@@ -79,8 +79,13 @@ def salted_join(
 
 
 def keep_existing(left: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """L6, positive: rows whose key occurs in `keys`."""
-    return lookup(left, keys.select(*on).distinct(), on, "left_semi")
+    """L6, positive: rows whose key occurs in `keys`.
+
+    Distinct keys make it an inner join. A semi join would be pushed into the
+    parts of a union, so that each reads all keys, and a part whose key is a
+    constant reads them in a single task.
+    """
+    return lookup(left, keys.select(*on).distinct(), on, "inner").select(*left.columns)
 
 
 def keep_missing(

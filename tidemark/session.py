@@ -19,6 +19,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even if that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Sizes are those of compressed files and shuffles; ids and clocks shrink twentyfold
+    # there, so a task of Spark's default sizes sorts gigabytes.
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
