@@ -1039,11 +1039,18 @@ def metrics_text(t: Tables) -> DataFrame:
 # --- streaming -------------------------------------------------------------
 
 
+ROWS_A_FILE = 50_000
+
+
 def _stream(t: Tables, feed: DataFrame, order: list[str], files: int = 4) -> tuple[DataFrame, str]:
-    """A feed written in commit order and read as a stream of two files a batch."""
+    """A feed written in commit order and read as a stream of two batches.
+
+    The files grow in number, not in size, so a batch of a large feed is written and read by many tasks.
+    """
     folder = f"{shared_root(t.spark)}/stream-{uuid4().hex}"
+    files = max(files, feed.count() // ROWS_A_FILE)
     feed.repartitionByRange(files, *order).write.parquet(f"{folder}/feed")
-    source = t.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2)
+    source = t.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", (files + 1) // 2)
     return source.parquet(f"{folder}/feed"), folder
 
 
