@@ -21,3 +21,9 @@ def test_a_larger_feed_has_more_files_and_still_two_batches(spark, monkeypatch):
     query.awaitTermination()
     taken = [p["numInputRows"] for p in query.recentProgress]
     assert sum(taken) == 1000 and len([n for n in taken if n]) == 2
+
+
+@pytest.mark.parametrize("name", ["provenance_inodes", "xattr_buffer"])
+def test_tables_read_several_times_are_derived_once(spark, name):
+    files = getattr(Tables(spark, DATA), name).inputFiles()
+    assert files and not any(DATA in f for f in files)

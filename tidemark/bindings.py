@@ -318,8 +318,8 @@ RENAMES = {
 }
 
 
-# Logs whose derivation is long enough to be stored as a table first.
-WRITTEN = {"provenance"}
+# Tables that are read several times and long to derive are stored first.
+WRITTEN = {"provenance", "provenance_inodes", "xattr_buffer"}
 
 
 def select_text(

@@ -1125,7 +1125,8 @@ def _provenance_stream(t: Tables, pruned: Pruned | None = None) -> tuple[DataFra
         # Operations and outputs of a batch share its enrichment.
         if batch.get("rows") is not rows:
             found = provenance.enriched(rows, t.provenance_inodes, t.xattr_buffer, barrier.seen())
-            batch.update(rows=rows, parts=sink.split_problems(found))
+            # Written, since three outputs read it.
+            batch.update(rows=rows, parts=sink.split_problems(materialize(found, "enriched")))
         return batch["parts"]
 
     outputs = Outputs(
