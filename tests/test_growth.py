@@ -27,3 +27,25 @@ def test_a_larger_feed_has_more_files_and_still_two_batches(spark, monkeypatch):
 def test_tables_read_several_times_are_derived_once(spark, name):
     files = getattr(Tables(spark, DATA), name).inputFiles()
     assert files and not any(DATA in f for f in files)
+
+
+class Stop(Exception):
+    pass
+
+
+def test_a_batch_of_metrics_takes_a_slice_of_any_number_of_files(spark, monkeypatch):
+    taken = []
+
+    class Table(queries.MetricsTable):
+        def changes(self, path, schema, files):
+            taken.extend([files, len(list(Path(path).glob("*.parquet")))])
+            raise Stop
+
+    monkeypatch.setattr(queries, "MetricsTable", Table)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 20)
+    try:
+        with pytest.raises(Stop):
+            queries.stream_metrics(Tables(spark, DATA))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert taken[0] == taken[1] // 4 > 2

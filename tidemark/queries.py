@@ -32,6 +32,7 @@ from tidemark.session import materialize, shared_root
 from tidemark.sources import feeds, schemas
 from tidemark.streaming.bootstrap import Bootstrap
 from tidemark.streaming.documents import StreamedDocuments
+from tidemark.streaming.files import Files
 from tidemark.streaming.metrics import MetricsTable, windowed_metrics
 from tidemark.streaming.pipeline import EpochBarrier, Outputs, drain
 from tidemark.streaming.pruning import PrunedBuffer, PrunedLog
@@ -1213,7 +1214,9 @@ def _stream_metrics(t: Tables, scope: str, slices: int = 4) -> DataFrame:
     ]
     t.spark.range(1).select(*end).write.mode("append").parquet(f"{folder}/changes")
     table = MetricsTable(t.spark, f"{folder}/state")
-    feed = table.changes(f"{folder}/changes", changes.schema, 2)
+    # A batch is about a slice, however many files that has.
+    files = sum(n.endswith(".parquet") for n in Files(t.spark, f"{folder}/changes").names())
+    feed = table.changes(f"{folder}/changes", changes.schema, max(2, files // slices))
     windows = windowed_metrics(feed, scope, delay=f"{span} milliseconds")
     table.follow(windows).awaitTermination()
     return _rounded(table.rows(windows.schema))
