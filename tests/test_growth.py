@@ -1,6 +1,7 @@
 """How the tasks, files and batches of the queries grow with their input."""
 
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -49,3 +50,17 @@ def test_a_batch_of_metrics_takes_a_slice_of_any_number_of_files(spark, monkeypa
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     assert taken[0] == taken[1] // 4 > 2
+
+
+def test_blocks_of_a_long_log_stay_few(spark, monkeypatch):
+    widths = []
+
+    def opened(spark, path, schema, key, width=64):
+        widths.append(width)
+        raise Stop
+
+    monkeypatch.setattr(queries, "PrunedLog", opened)
+    log = spark.range(100_000).withColumnRenamed("id", "commit_epoch")
+    with pytest.raises(Stop):
+        queries.stream_retention_log(SimpleNamespace(spark=spark, provenance=log))
+    assert 100_000 / widths[0] < 130

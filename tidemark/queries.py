@@ -1174,7 +1174,9 @@ def stream_retention(t: Tables) -> DataFrame:
 def stream_retention_log(t: Tables) -> DataFrame:
     """X4, K3, K4 in a stream: the log that each batch pruned; equal to `retention_log`."""
     path = f"{shared_root(t.spark)}/log-{uuid4().hex}"
-    log = PrunedLog(t.spark, path, t.provenance.schema, keys.PROVENANCE_KEY)
+    # A log of many epochs has wider blocks, so that folders stay few.
+    epochs = t.provenance.agg(F.max("commit_epoch")).first()[0] or 0
+    log = PrunedLog(t.spark, path, t.provenance.schema, keys.PROVENANCE_KEY, max(64, epochs // 128))
     log.add(t.provenance)
     _provenance_stream(t, lambda acked, _: log.prune(acked))
     return log.rows().select("io_logical_time", "inode_operation")
