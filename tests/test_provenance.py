@@ -159,3 +159,15 @@ def test_documents(spark):
     assert (doc["doc_id"], doc["ml_type"], doc["ml_id"]) == ("60", "EXPERIMENT", "application_1_2_3")
     assert doc["r_create_timestamp"] == "2019.Aug.5 9:25:15"
     assert doc["xattrs"] == {"project_iid": "100"}
+
+
+def test_the_projects_are_written_so_that_their_size_is_known(spark, monkeypatch):
+    written = {}
+
+    def keep(df, label):
+        written[label] = materialize(df, label)
+        return written[label]
+
+    monkeypatch.setattr(provenance, "materialize", keep)
+    run(spark, [change("CREATE", 10)], versions("ALL"))
+    assert [tuple(r) for r in written["projects"].collect()] == [(100, "MyProject")]

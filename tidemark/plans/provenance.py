@@ -152,7 +152,10 @@ def enriched(
     `seen` has the ids of inodes that earlier rows of a stream were found under.
     `problem` names what makes a row unprocessable (X5), null for good rows.
     The rows are written once after the as-of and buffer joins: the lookups
-    that follow derive their key sets from them.
+    that follow derive their key sets from them. So are the projects: most rows
+    name one of a few, and a join that shuffles the rows by project leaves all
+    of them to as many tasks. Written, their size is known and they are sent
+    around when they are few.
     """
     typed = with_asset(rows).withColumn("phase", provenance_phase())
     moded = with_store_mode(_with_xattr_values(typed, buffer), buffer, points_of=typed)
@@ -160,7 +163,7 @@ def enriched(
     candidates = valued.select(
         F.explode(F.array("project_i_id", "core_project", "own_project")).alias("project")
     ).filter(F.col("project").isNotNull() & (F.col("project") != MISSING_ID))
-    alive = existing_projects(inodes, candidates)
+    alive = materialize(existing_projects(inodes, candidates), "projects")
 
     def project(column: str, name: str, flag: str) -> DataFrame:
         return alive.select(
