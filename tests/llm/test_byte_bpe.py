@@ -5,11 +5,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from tests.llm import cases
 from tidemark.llm import byte_bpe
 from tidemark.llm.byte_bpe import RANKS, Codec, SliceTable, encode_texts, encoded, merge, slices, text_groups
+from tidemark.llm.common import arrow_map
 
 tiktoken = pytest.importorskip("tiktoken")
 ALPHABET = [
@@ -104,3 +106,14 @@ def test_vocabulary_file():
     ranks = byte_bpe.load_ranks(public_tokenizers.path(RANKS))
     assert all(bytes([b]) in ranks for b in range(256))
     assert base64.b64encode(b"!").decode() == "IQ=="
+
+
+def test_workers_let_the_codec_go_when_another_operator_comes(spark):
+    df = cases.frame(spark, [(i, cases.prose(i, 10), "en", "s", 0) for i in range(8)])
+    assert encoded(df).count() == 8
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([byte_bpe.codec.cache_info().currsize])], names=["n"])
+
+    assert not any(r.n for r in arrow_map(df.select("text"), held, "n long").collect())

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import mix, range_hashes
-from tidemark.llm.common import arrow_map
+from tidemark.llm.common import arrow_map, kept
 
 RANKS = "byte_bpe_50k.tiktoken"
 # Places of a task's table of slices, as a power of two, and the ids it may hold.
@@ -390,7 +390,7 @@ class Codec:
         return self.flat[spread(self.places[ids], self.widths[ids])].tobytes()
 
 
-@cache
+@kept
 def codec(path: str) -> Codec:
     return Codec(path)
 
@@ -445,4 +445,4 @@ def encoded(
     kinds = {"ids": "array<int>", "offsets": "array<bigint>"}
     schema = ", ".join([f"`{key}` {kind}", fixed, *[f"{a} {kinds[a]}" for a in arrays]])
     small = df.select(F.col(key), F.col(text).cast("string").alias("_text"))
-    return arrow_map(small, work, schema)
+    return arrow_map(small, work, schema, keeps="codec")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -66,15 +67,47 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+_KEPT: list = []
+
+
+def kept(load: Callable) -> Callable:
+    """`cache` for what a task leaves to the worker's next task of the same operator."""
+    held = cache(load)
+    _KEPT.append(held)
+    return held
+
+
+def let_go(own: str | None = None) -> None:
+    """Drop what tasks of other operators left here, all but that of the function `own`."""
+    for held in _KEPT:
+        if held.__name__ != own:
+            held.cache_clear()
+
+
+def trim() -> None:
+    """Give free memory back to the machine, where the allocators can."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
+
+
 def arrow_map(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
+    df: DataFrame,
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema,
+    keeps: str | None = None,
 ) -> DataFrame:
-    """`mapInArrow` with a function of this library, in batches of whole texts."""
+    """`mapInArrow` with a function of this library, in batches of whole texts.
+
+    `keeps` names the `kept` function whose result the operator's tasks share.
+    """
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(keeps)
         yield from work(batches)
         # Workers live on; what the task needed goes back to the machine.
-        pa.default_memory_pool().release_unused()
+        trim()
 
     return df.mapInArrow(run, schema)

@@ -371,7 +371,9 @@ class _Verifier:
             F.col(self.key).alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text")
         )
         docs = docs.filter(KeyFilter(first, ["_id", "_hash"]).may_hold())
-        chosen = docs.join(first, same_document(docs, first), "left_semi")
+        # Sorted on both sides, so that the filter and the sets are in different
+        # tasks: one with both would hold two Python workers.
+        chosen = docs.join(first.hint("merge"), same_document(docs, first), "left_semi")
         sets = arrow_map(chosen.select("_text"), work, "node binary, shingles array<bigint>")
         return materialize(sets, "sets")
 
