@@ -5,7 +5,7 @@ import pytest
 
 from tests.llm import cases
 from tests.llm.test_jaccard import brute, near_copies, shingles
-from tidemark.llm import minhash
+from tidemark.llm import components, minhash
 from tidemark.llm.arrays import shingle_sets
 from tidemark.llm.minhash import band_keys, least_agreement, minhash_components, minima
 
@@ -79,3 +79,41 @@ def test_other_columns_empty_table_and_long_text(spark):
     rows = [(1, long, "en", "s", 0), (2, long + " end", "en", "s", 0), (3, None, "en", "s", 0)]
     got = result(cases.frame(spark, rows))
     assert {(i, c, k) for i, _, c, k in got} == {(1, 1, True), (2, 1, False), (3, 3, True)}
+
+
+def written(monkeypatch, *modules):
+    """The labels of the tables that the modules write from now on."""
+    labels = []
+    for module in modules:
+        plain = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, label, f=plain: (labels.append(label), f(df, label))[1])
+    return labels
+
+
+def test_what_is_left_is_verified_at_once(spark):
+    # The first round verifies ten pairs; the eight that are left, of up to two a class, take one more.
+    class Asked:
+        turns = []
+
+        def links(self, pairs, similar):
+            self.turns.append(pairs.count())
+            return pairs.filter("a = 2").selectExpr("of_a a", "of_b b")
+
+    rows = [(a, b, 9 - a) for a, n in ((0, 10), (1, 5), (2, 3)) for b in range(101, 101 + n)]
+    labels = spark.createDataFrame([], "node long, component long")
+    got, few = minhash._linked(spark.createDataFrame(rows, "a long, b long, agree int"), labels, Asked(), 85)
+    assert Asked.turns == [10, 8] and few == 10
+    assert sorted(map(tuple, got.collect())) == [(101, 2), (102, 2), (103, 2)]
+
+
+def test_stars_end_without_a_round_that_only_confirms(spark, monkeypatch):
+    labels = written(monkeypatch, components)
+    star = [(1, i) for i in range(2, 40)] + [(i, 50) for i in range(60, 90)] + [(7, 7)]
+    got = components.components(spark.createDataFrame(star, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted([(i, 1) for i in range(1, 40)] + [(i, 50) for i in [50, *range(60, 90)]])
+    assert labels == ["stars"]
+    labels.clear()
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+    path = [(i, i + 1) for i in range(0, 60)] + [(5, 30), (12, 3), (3, 12)]
+    got = components.components(spark.createDataFrame(path, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == [(i, 0) for i in range(61)]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import mix, shingle_sets
 from tidemark.llm.common import arrow_map, ship
-from tidemark.llm.components import components
+from tidemark.llm.components import stars
 from tidemark.llm.jaccard import KeyFilter, same_document
 from tidemark.session import materialize
 
@@ -41,7 +41,7 @@ SMALL, BLOCK = 8, 1024
 LEADS = 3
 # Shingles of a block's members, on either side; a longer set stands alone.
 BLOCK_SHINGLES = 1 << 19
-# Rounds that verify one candidate a class; the next takes all that are left.
+# Rounds at most that verify one candidate a class; the next takes all that are left.
 PICKY_ROUNDS = 3
 # Shingles hashed at once, so that they stay in the processor's cache.
 CHUNK = 1 << 15
@@ -287,54 +287,56 @@ class Sets:
         return arrow_map(chosen, work, "_class long, shingles array<long>").dropDuplicates(["_class"])
 
     def links(self, pairs: DataFrame, similar: int) -> DataFrame:
-        """The pairs that are similar enough, in whole numbers."""
+        """a, b: the labels of the pairs that are similar enough, in whole numbers."""
         ends = pairs.select(F.col("a").alias("_class")).union(pairs.select("b")).distinct()
         sets = materialize(self.of(ends), "sets")
         left, right = (sets.select(F.col("_class").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
-        both = pairs.select("a", "b").join(left, "a").join(right, "b")
+        both = pairs.select("a", "b", "of_a", "of_b").join(left, "a").join(right, "b")
         common = F.size(F.array_intersect("_a", "_b")).cast("long")
         union = F.size("_a") + F.size("_b") - common
-        return both.filter(common * 100 >= union * similar).select("a", "b")
+        found = both.filter(common * 100 >= union * similar)
+        return found.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct()
 
 
-def _linked(candidates: DataFrame, links: DataFrame | None, sets: Sets, similar: int) -> tuple[DataFrame, DataFrame | None]:
-    """Labels of the classes after verification of all candidates that matter, and the links.
+def _linked(candidates: DataFrame, labels: DataFrame, sets: Sets, similar: int, few: int = 0) -> tuple[DataFrame, int]:
+    """Labels of the classes after verification of all candidates that matter, and `few`.
 
     A candidate inside a component adds nothing. So each class first verifies
     the candidate it agrees with most; only pairs whose components still differ
-    are verified in later rounds, the last of which takes all that are left.
+    are verified in later rounds. As soon as no more than `few` are left, the
+    pairs that the first round verified, or after PICKY_ROUNDS, a round takes all.
+    Links join the components found so far, so what was joined is not joined again.
     """
-    labels = components(links) if links is not None else None
     left, turn = candidates, 0
     while True:
-        if labels is not None:
-            left = _across(left, labels)
-        left = materialize(left, "candidates")
-        if left.isEmpty():
-            break
-        if turn < PICKY_ROUNDS:
-            best = F.max(F.struct("agree", "a")).alias("_best")
-            pick = left.groupBy("b").agg(best).select(F.col("_best.a").alias("a"), "b")
-            pick = materialize(pick, "picked")
+        left = materialize(_across(left, labels), "candidates")
+        count = left.count()
+        if not count:
+            return labels, few
+        last = turn >= PICKY_ROUNDS or count <= few
+        pick = left
+        if not last:
+            best = F.max(F.struct("agree", "a", "of_a", "of_b")).alias("_best")
+            pick = materialize(left.groupBy("b").agg(best).select("_best.*", "b"), "picked")
+            few = few or pick.count()
             left = left.join(pick, ["a", "b"], "left_anti")
-        else:
-            pick, left = left, left.limit(0)
-        more = sets.links(pick, similar)
-        links = materialize(more if links is None else links.union(more), "links")
-        labels = materialize(components(links), "labels")
+        links = materialize(sets.links(pick, similar), "links")
+        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = stars(known.union(links)).toDF("node", "component")
+        if last:
+            return labels, few
         turn += 1
-    if labels is None:
-        empty = candidates.sparkSession.createDataFrame([], "node long, component long")
-        return empty, links
-    return labels, links
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends have different labels."""
+    """a, b, agree, of_a, of_b: the pairs whose ends have different labels, and these.
+
+    A class without a label is its own.
+    """
     left, right = (labels.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
-    both = pairs.join(left, "a", "left").join(right, "b", "left")
-    differ = F.coalesce("_a", "a") != F.coalesce("_b", "b")
-    return both.filter(differ).select(*pairs.columns)
+    both = pairs.select("a", "b", "agree").join(left, "a", "left").join(right, "b", "left")
+    both = both.select("a", "b", "agree", F.coalesce("_a", "a").alias("of_a"), F.coalesce("_b", "b").alias("of_b"))
+    return both.filter(F.col("of_a") != F.col("of_b"))
 
 
 def minhash_components(
@@ -365,10 +367,10 @@ def minhash_components(
     members = buckets(named)
     least = least_agreement(similar, bands * rows)
     sets = Sets(df, named, key, text, k)
-    labels, links = _linked(scored(first_pairs(members, similar), named, least), None, sets, similar)
+    labels = df.sparkSession.createDataFrame([], "node long, component long")
+    labels, few = _linked(scored(first_pairs(members, similar), named, least), labels, sets, similar)
     more = materialize(block_pairs(members, named, labels, sets, similar, least), "block-pairs")
-    if not more.isEmpty():
-        labels, links = _linked(more, links, sets, similar)
+    labels, _ = _linked(more, labels, sets, similar, few)
     grouped = named.select("node", "_first", "_class").join(
         labels.select(F.col("node").alias("_class"), "component"), "_class", "left"
     )
