@@ -1,4 +1,6 @@
 import random
+import time
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -9,6 +11,7 @@ from test_mutations import frame, log, tables
 from tidemark.operators import fold, metrics, ordering
 from tidemark.plans import mutations
 from tidemark.sources import schemas
+from tidemark.streaming import documents
 from tidemark.streaming.documents import StreamedDocuments
 from tidemark.streaming.pipeline import EpochBarrier, apply_stream, drain
 
@@ -53,6 +56,36 @@ def test_a_batch_touches_the_keys_it_holds(spark, tmp_path):
     assert (rows(store.documents()), rows(store.entries())) == whole(df)
 
 
+def _left(spark, name):
+    """Files in Spark's local folders of a name; the last are removed in the background."""
+    top = Path(spark._jvm.org.apache.spark.util.Utils.getLocalDir(spark._jsc.sc().conf())).parent
+    return {f for d in ("blockmgr-*", "spark-*") for f in top.glob(f"{d}/**/*{name}*") if f.exists()}
+
+
+def _gone(spark, name, before):
+    for _ in range(50):
+        if _left(spark, name) <= before:
+            return True
+        time.sleep(0.2)
+    return False
+
+
+def test_a_fold_leaves_one_copy_of_the_state_on_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(documents, "FOLD_BYTES", 1, raising=False)
+    df = spark.createDataFrame(random_ops(25), OPS)
+    store = StreamedDocuments(spark, str(tmp_path / "state"))
+    for i, part in enumerate(batches(df, 8)):
+        store.add(part.coalesce(1), i)
+    spark._jvm.System.gc()
+    before = {name: _left(spark, name) for name in ("shuffle_", ".sst", "StateStoreId")}
+    query = folded(store)
+    assert 3 < len([p for p in query.recentProgress if p["numInputRows"]]) < 8
+    # Folded operations go while others wait; shuffle files and local copies of the state go with their batch.
+    assert len(list(Path(store.path, "ops").rglob("*.parquet"))) < 4
+    assert all(_gone(spark, name, files) for name, files in before.items())
+    assert (rows(store.documents()), rows(store.entries())) == whole(df)
+
+
 def test_change_state_is_both_states(spark):
     df = spark.createDataFrame(random_ops(23), OPS)
     state = fold.change_state(df)

@@ -1050,7 +1050,7 @@ def _stream(t: Tables, feed: DataFrame, order: list[str], files: int = 4) -> tup
     """
     folder = f"{shared_root(t.spark)}/stream-{uuid4().hex}"
     files = max(files, feed.count() // ROWS_A_FILE)
-    feed.repartitionByRange(files, *order).write.parquet(f"{folder}/feed")
+    feed.repartitionByRange(files, *order).write.option("compression", "zstd").parquet(f"{folder}/feed")
     source = t.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", (files + 1) // 2)
     return source.parquet(f"{folder}/feed"), folder
 

@@ -96,13 +96,20 @@ def discard(*tables: DataFrame) -> None:
     """Remove the folders of written tables that nothing reads any more.
 
     Takes what `materialize` returned; other tables are left alone. What was
-    made from them must be written by now. Spark removes the shuffle files of a
-    plan once the driver's collector finds that nothing refers to it, which on
-    an idle driver may take half an hour; it is asked to look now.
+    made from them must be written by now.
     """
     for table in tables:
         if table in _WRITTEN:
             root, name = _WRITTEN.pop(table)
             Files(table.sparkSession, root).remove(name)
     if tables:
-        tables[0].sparkSession._jvm.System.gc()
+        collect_shuffles(tables[0].sparkSession)
+
+
+def collect_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files removed that no plan refers to any more.
+
+    Spark does so once the driver's collector finds such a plan, which on an
+    idle driver may take half an hour; it is asked to look now.
+    """
+    spark._jvm.System.gc()

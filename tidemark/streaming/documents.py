@@ -5,6 +5,10 @@ them: a streaming aggregation by document and map entry, whose maxima lie in the
 RocksDB state store. A batch reads and writes the keys it touches and nothing
 else; the state's changelog, its snapshots and their removal are Spark's. The
 documents are read from the state with Spark's state reader.
+
+On disk the state lies once, as its compressed changelog. What waits to be folded
+is taken in a few batches, so that the operations and the shuffle files of one
+are gone before the next writes its own.
 """
 
 from __future__ import annotations
@@ -25,7 +29,23 @@ STATE = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+# The keys of a document and its fields repeat much of each other, so the changelog shrinks to a half.
+COMPACT = {"spark.sql.streaming.stateStore.compression.codec": "zstd"}
+# Settings of the query that folds: the shuffle files of a batch go when it ends.
+FOLDING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# A query that ends with what is there has no use for a local copy of each partition
+# once its task is over; one that goes on would load it again with every batch.
+UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
 BATCH = re.compile(r"batch-(\d+)$")
+# A batch of the fold takes a part of the operations that wait, and so many bytes at least.
+FOLD_PARTS, FOLD_BYTES = 4, 32 << 20
+
+
+def _session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    session = configure(spark.newSession())
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session
 
 
 class StreamedDocuments:
@@ -38,9 +58,7 @@ class StreamedDocuments:
 
     def __init__(self, spark: SparkSession, path: str, groups: list[list[str]] | None = None):
         self.path, self.groups = path.rstrip("/"), groups
-        self.spark = configure(spark.newSession())
-        for key, value in STATE.items():
-            self.spark.conf.set(key, value)
+        self.spark = _session(spark, STATE | COMPACT)
         self.files = Files(spark, f"{self.path}/ops")
 
     def last_batch(self) -> int:
@@ -50,7 +68,7 @@ class StreamedDocuments:
     def add(self, ops: DataFrame, batch_id: int) -> None:
         none = ops.sparkSession.createDataFrame([], ops.schema)
         none.write.mode("ignore").parquet(f"{self.path}/schema")
-        ops.write.mode("overwrite").parquet(f"{self.path}/ops/batch-{batch_id}")
+        ops.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/ops/batch-{batch_id}")
 
     def _schema(self) -> StructType:
         return self.spark.read.parquet(f"{self.path}/schema").schema
@@ -60,7 +78,11 @@ class StreamedDocuments:
 
     def follow(self, trigger: dict | None = None):
         """Start the query that folds what is added, by default all that is there."""
-        source = self.spark.readStream.schema(self._schema())
+        trigger = trigger or {"availableNow": True}
+        ends = bool(trigger.keys() & {"availableNow", "once"})
+        spark = _session(self.spark, STATE | COMPACT | FOLDING | {UNLOAD: str(ends).lower()})
+        source = spark.readStream.schema(self._schema())
+        source = source.option("maxBytesPerTrigger", max(FOLD_BYTES, -(-self.files.size() // FOLD_PARTS)))
         # A batch that is added again replaces its files; their rows are the same.
         source = source.option("ignoreMissingFiles", "true").option("cleanSource", "delete")
         ops = source.parquet(f"{self.path}/ops/*")
@@ -69,7 +91,7 @@ class StreamedDocuments:
             .writeStream.outputMode("update")
             .format("noop")
             .option("checkpointLocation", self._checkpoint())
-            .trigger(**(trigger or {"availableNow": True}))
+            .trigger(**trigger)
             .start()
         )
 

@@ -16,5 +16,9 @@ class Files:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(self.root)]
 
+    def size(self) -> int:
+        """Bytes of all files below the folder."""
+        return self.fs.getContentSummary(self.root).getLength()
+
     def remove(self, name: str) -> None:
         self.fs.delete(self.jvm.org.apache.hadoop.fs.Path(self.root, name), True)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import union_feeds
-from tidemark.session import configure
+from tidemark.session import collect_shuffles, configure
 from tidemark.streaming.documents import StreamedDocuments
 from tidemark.streaming.files import Files
 
@@ -151,5 +151,7 @@ def drain(
                 outputs.write(rest, batch_id)
     if outputs:
         outputs.settle(feed.sparkSession, store.last_batch() + 1)
+    # What wrote the feed and its operations is not needed beside the fold.
+    collect_shuffles(feed.sparkSession)
     store.follow().awaitTermination()
     return store.documents()
